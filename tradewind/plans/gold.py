@@ -21,12 +21,12 @@ def _delivered(orders: DataFrame) -> DataFrame:
 def _scores_per_order(reviews: DataFrame) -> DataFrame:
     """Everything the review reports need from an order's reviews, as sums."""
     score = F.col("review_score")
+    optional = {"review_id": F.count("review_id").alias("r_ids"),
+                "has_comment": F.count_if("has_comment").alias("r_comments")}
     return reviews.groupBy("order_id").agg(
-        rows().alias("r_rows"), F.count("review_id").alias("r_ids"),
-        F.count(score).alias("r_scored"), F.sum(score).alias("r_sum"),
+        rows().alias("r_rows"), F.count(score).alias("r_scored"), F.sum(score).alias("r_sum"),
         F.count_if(score == 1).alias("r_ones"), F.count_if(score == 5).alias("r_fives"),
-        *([F.count_if("has_comment").alias("r_comments")]
-          if "has_comment" in reviews.columns else []))
+        *[total for name, total in optional.items() if name in reviews.columns])
 
 
 def _times(n: str, value: str):
@@ -148,8 +148,7 @@ def seller_review_scores(items: DataFrame, reviews: DataFrame, sellers: DataFram
     """Seller grain; an order's review repeats for each of its items."""
     scored = reviews.filter(F.col("review_score").isNotNull())
     lines = items.groupBy("order_id", "seller_id").agg(rows().alias("n"))
-    totals = lines.join(_scores_per_order(scored.withColumn("review_id", F.lit(1))), "order_id")
-    per_seller = totals.groupBy("seller_id").agg(
+    per_seller = lines.join(_scores_per_order(scored), "order_id").groupBy("seller_id").agg(
         _times("n", "r_rows").alias("total_reviews"),
         _times("n", "r_sum").alias("score_sum"), _times("n", "r_fives").alias("fives"))
     total = F.col("total_reviews")
