@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("explore",)
+MODULES = ("explore", "marts", "quality", "changes")
 
 
 def load() -> None:

@@ -9,12 +9,17 @@ from __future__ import annotations
 import os
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MONEY = "decimal(12,2)"
 
 
+def _exact(name: str) -> Column:
+    """Money and rates as decimals: products of doubles round differently by engine."""
+    return F.col(name).cast(MONEY)
+
+
 class Retail:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
@@ -61,7 +66,7 @@ class Retail:
             F.col("l_suppkey").alias("seller_id"),
             F.col("l_shipdate").alias("shipping_limit_ts"),
             F.col("l_extendedprice").cast(MONEY).alias("price"),
-            F.round(F.col("l_extendedprice") * F.col("l_tax"), 2).cast(MONEY)
+            F.round(_exact("l_extendedprice") * _exact("l_tax"), 2).cast(MONEY)
             .alias("freight_value"))
 
     @cached_property
@@ -73,7 +78,7 @@ class Retail:
             F.col("l_linenumber").alias("payment_sequential"),
             kind.alias("payment_type"),
             F.col("l_linenumber").alias("payment_installments"),
-            F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 2).cast(MONEY)
+            F.round(_exact("l_extendedprice") * (1 - _exact("l_discount")), 2).cast(MONEY)
             .alias("payment_value"))
 
     @cached_property
@@ -167,7 +172,8 @@ class Retail:
     def landed_order_reviews(self) -> DataFrame:
         """Reviews in which every eleventh score is unreadable, as in broken rows."""
         c = F.col
-        score = F.when(c("order_id") % 11 == 0, F.lit("n/a")).otherwise(c("review_score"))
+        score = F.when(c("order_id") % 11 == 0, F.lit("n/a")).otherwise(
+            c("review_score").cast("string"))
         return self._as_text(
             self.order_reviews, review_id=c("review_id"), order_id=c("order_id"),
             review_score=score,
@@ -224,7 +230,8 @@ SHAPE_SQL = {
         select l_orderkey as order_id, l_linenumber as order_item_id, l_partkey as product_id,
                l_suppkey as seller_id, l_shipdate as shipping_limit_ts,
                cast(l_extendedprice as decimal(12,2)) as price,
-               cast(round(l_extendedprice * l_tax, 2) as decimal(12,2)) as freight_value
+               cast(round(cast(l_extendedprice as decimal(12,2)) * cast(l_tax as decimal(12,2)), 2)
+                    as decimal(12,2)) as freight_value
         from lineitem""",
     "s_customers": """
         select c_custkey as customer_id, c_custkey as customer_unique_id,
@@ -247,7 +254,8 @@ SHAPE_SQL = {
                case l_returnflag when 'A' then 'credit_card' when 'R' then 'boleto'
                     else 'voucher' end as payment_type,
                l_linenumber as payment_installments,
-               cast(round(l_extendedprice * (1 - l_discount), 2) as decimal(12,2))
+               cast(round(cast(l_extendedprice as decimal(12,2))
+                          * (1 - cast(l_discount as decimal(12,2))), 2) as decimal(12,2))
                    as payment_value
         from lineitem""",
     "s_order_reviews": """
