@@ -65,7 +65,7 @@ def _(t):
 @query("i6_scd2_cut_keys", "select * from m_versions")
 def _(t):
     """The same versions when every user is cut into stretches."""
-    return versions(t, max_rows_per_key=20)
+    return versions(t, max_rows_per_key=60)
 
 
 @query("i7_sequence_conflicts", """

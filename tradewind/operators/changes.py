@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.functions import columns as X
+from tradewind.operators.cuts import quantile_piece
 
 START, END = "__START_AT", "__END_AT"
 PROVENANCE = ("_ingestion_timestamp", "_source_file")
@@ -210,27 +211,10 @@ class _Versions:
 
 
 def _stretch(rows: DataFrame, seq: str, max_rows: int, most: int = 512) -> Column:
-    """Number of the stretch a row falls in: cuts at quantiles of the sequence.
-
-    No stretch holds more than about a ``pieces``-th of all the rows, so none of
-    its keys does either. The cuts are read once, as literals: every use of the
-    rows sees the same stretches, also when a lost task runs again.
-    """
-    n = rows.count()
-    pieces = min(most, max(2, math.ceil(2 * n / max_rows)))
-    shares = [i / pieces for i in range(1, pieces)]
-    cuts = rows.agg(F.percentile_approx(seq, shares, 100 * pieces).alias("q")).select(
-        F.array_distinct("q").alias("q")).first()["q"]
-    kind = rows.schema[seq].dataType
-
-    def place(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(F.col(seq) <= F.lit(cuts[middle]).cast(kind), place(low, middle)).otherwise(
-            place(middle + 1, high))
-
-    return place(0, len(cuts))
+    """Cuts the sequence so that no stretch, and so none of its keys, holds much more
+    than ``max_rows`` rows; beyond ``most`` stretches they grow with the rows."""
+    pieces = min(most, max(2, math.ceil(2 * rows.count() / max_rows)))
+    return quantile_piece(rows, seq, pieces)
 
 
 # --- reading a type 2 table --------------------------------------------------
