@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("explore", "marts", "quality", "changes")
+MODULES = ("explore", "relational", "marts", "quality", "changes")
 
 
 def load() -> None:
