@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("explore", "relational", "marts", "quality", "changes")
+MODULES = ("explore", "relational", "scalars", "marts", "quality", "changes", "files")
 
 
 def load() -> None:

@@ -51,8 +51,9 @@ def elapsed_days(start: str | Column, end: str | Column) -> Column:
 def whole_days_between_texts(start: str | Column, end: str | Column,
                              fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
     """Full days between two formatted texts; negative spans round down."""
-    seconds = (F.unix_timestamp(F.to_timestamp(col(end), F.lit(fmt)))
-               - F.unix_timestamp(F.to_timestamp(col(start), F.lit(fmt))))
+    def seconds_of(text: Column) -> Column:
+        return F.unix_timestamp(F.try_to_timestamp(text, F.lit(fmt)))
+    seconds = seconds_of(col(end)) - seconds_of(col(start))
     return F.floor(seconds / SECONDS_PER_DAY).cast("int")
 
 
