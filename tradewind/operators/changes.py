@@ -113,16 +113,21 @@ def scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
     are cut into stretches of the sequence that are ordered separately and
     connected through one summary row per stretch.
     """
-    singles = one_change_per_sequence(changes, keys, sequence_by, ignore_null_updates)
     untracked = set(track_except) | {sequence_by}
     tracked = [c for c in _values(changes, keys) if c not in untracked]
     build = _Versions(keys, sequence_by, tracked, _values(changes, keys), ignore_null_updates)
-    heavy = heavy_keys(singles, keys, max_rows_per_key)
+
+    def singles(rows: DataFrame) -> DataFrame:
+        return one_change_per_sequence(rows, keys, sequence_by, ignore_null_updates)
+
+    heavy = heavy_keys(changes, keys, max_rows_per_key)
+    light = changes if heavy is None else changes.join(heavy, list(keys), "left_anti")
+    # one shuffle by key serves the collapsing, the windows and the final grouping
+    versions = build.by_key(singles(light.repartition(*keys)))
     if heavy is None:
-        return build.by_key(singles)
-    light = build.by_key(singles.join(heavy, list(keys), "left_anti"))
-    large = singles.join(heavy, list(keys), "left_semi")
-    return light.unionByName(build.by_stretch(large, max_rows_per_key))
+        return versions
+    large = singles(changes.join(heavy, list(keys), "left_semi"))
+    return versions.unionByName(build.by_stretch(large, max_rows_per_key))
 
 
 class _Versions:

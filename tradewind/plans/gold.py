@@ -93,7 +93,7 @@ def customer_cohorts(people: DataFrame) -> DataFrame:
 def review_sentiment_by_category(items: DataFrame, labels: DataFrame,
                                  reviews: DataFrame) -> DataFrame:
     """Category grain; a review counts once per category of its order."""
-    pairs = (items.select("order_id", "product_id").distinct()
+    pairs = (items.select("order_id", "product_id")
              .join(labels.select("product_id", "category"), "product_id", "left")
              .select("order_id", "category").distinct())
     scored = F.sum("r_scored")
