@@ -100,7 +100,7 @@ def _(t):
         X.rows().alias("n"))
 
 
-@query("a5_ingestion_time", "select count(*) as n, 1 as stamps, true as recent from orders")
+@query("a5_ingestion_time", "select count(*) as n, 1::bigint as stamps, true as recent from orders")
 def _(t):
     rows, _ = ingest_given(t, "orders")
     stamp = F.col(silver.INGESTED)
@@ -308,7 +308,7 @@ def _(t):
 
 
 @query("l2_repartitioned", """
-    select count(*) as n, true as at_most_four, 0 as split_sellers from s_order_items""")
+    select count(*) as n, true as at_most_four, 0::bigint as split_sellers from s_order_items""")
 def _(t):
     placed = t.order_items.repartition(4, "seller_id").select(
         "seller_id", F.spark_partition_id().alias("p"))

@@ -155,7 +155,7 @@ def _(t):
 
 
 @query("k14_freshness", one_test("orders.order_purchase_ts fresh", """
-    select cast(max(order_purchase_ts) < current_timestamp - interval 24 hour as int) as n
+    select cast(max(order_purchase_ts) < current_timestamp - interval 24 hour as bigint) as n
     from s_orders""", "warn"))
 def _(t):
     return Q.run_tests({"orders": t.orders_placed}, [Q.fresh("orders", "order_purchase_ts", 24)])

@@ -533,8 +533,8 @@ def _(t):
 
 
 @query("e4_global_row_number", """
-    select customer_id, n as order_count, row_number() over (order by n desc, customer_id)
-               as global_rank
+    select customer_id, n as order_count,
+           cast(row_number() over (order by n desc, customer_id) as int) as global_rank
     from (select customer_id, count(*) as n from s_orders group by customer_id)
     order by global_rank limit 20""")
 def _(t):
@@ -554,7 +554,7 @@ def _(t):
 @query("e6_named_windows", """
     with m as (select customer_id, cast(date_trunc('month', order_purchase_ts) as date) as month,
                       count(*) as n from s_orders group by all)
-    select customer_id, month, n, dense_rank() over w as place,
+    select customer_id, month, n, cast(dense_rank() over w as int) as place,
            cast(sum(n) over (partition by customer_id order by month) as bigint) as so_far,
            round(avg(n) over (partition by customer_id order by month), 4) as mean_so_far,
            lag(n) over (partition by customer_id order by month) as before,
@@ -604,7 +604,7 @@ def _(t):
 @query("f4_top_n_with_threshold", """
     with s as (select seller_state, cast(sum(price) as double) as revenue
                from s_order_items join s_sellers using (seller_id) group by seller_state)
-    select row_number() over (order by revenue desc) as place, seller_state, revenue
+    select cast(row_number() over (order by revenue desc) as int) as place, seller_state, revenue
     from s where revenue >= 100000000 order by place limit 5""")
 def _(t):
     revenue = (t.order_items.join(t.sellers, "seller_id").groupBy("seller_state")

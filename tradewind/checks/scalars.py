@@ -152,7 +152,7 @@ def _(t):
 
 
 @query("h16_random_bucket", """
-    select count(*) as n, 0 as outside, 8 as buckets from s_order_items""")
+    select count(*) as n, 0::bigint as outside, 8::bigint as buckets from s_order_items""")
 def _(t):
     bucket = F.col("bucket")
     return t.order_items.select(X.random_bucket(8, seed=7).alias("bucket")).agg(
@@ -274,7 +274,7 @@ def _(t):
 
 
 @query("m2_udf_equals_builtin", """
-    select count(*) as n, 0 as different from s_order_reviews""")
+    select count(*) as n, 0::bigint as different from s_order_reviews""")
 def _(t):
     both = t.order_reviews.select(X.sentiment("review_score").alias("a"),
                                   udfs.sentiment_by_row("review_score").alias("b"))

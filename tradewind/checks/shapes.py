@@ -15,9 +15,12 @@ from pyspark.sql import functions as F
 MONEY = "decimal(12,2)"
 
 
-def _exact(name: str) -> Column:
+RATE = "decimal(4,2)"  # a product with money still fits a long
+
+
+def _exact(name: str, kind: str = MONEY) -> Column:
     """Money and rates as decimals: products of doubles round differently by engine."""
-    return F.col(name).cast(MONEY)
+    return F.col(name).cast(kind)
 
 
 class Retail:
@@ -66,7 +69,7 @@ class Retail:
             F.col("l_suppkey").alias("seller_id"),
             F.col("l_shipdate").alias("shipping_limit_ts"),
             F.col("l_extendedprice").cast(MONEY).alias("price"),
-            F.round(_exact("l_extendedprice") * _exact("l_tax"), 2).cast(MONEY)
+            F.round(_exact("l_extendedprice") * _exact("l_tax", RATE), 2).cast(MONEY)
             .alias("freight_value"))
 
     @cached_property
@@ -78,7 +81,7 @@ class Retail:
             F.col("l_linenumber").alias("payment_sequential"),
             kind.alias("payment_type"),
             F.col("l_linenumber").alias("payment_installments"),
-            F.round(_exact("l_extendedprice") * (1 - _exact("l_discount")), 2).cast(MONEY)
+            F.round(_exact("l_extendedprice") * (1 - _exact("l_discount", RATE)), 2).cast(MONEY)
             .alias("payment_value"))
 
     @cached_property
@@ -230,7 +233,7 @@ SHAPE_SQL = {
         select l_orderkey as order_id, l_linenumber as order_item_id, l_partkey as product_id,
                l_suppkey as seller_id, l_shipdate as shipping_limit_ts,
                cast(l_extendedprice as decimal(12,2)) as price,
-               cast(round(cast(l_extendedprice as decimal(12,2)) * cast(l_tax as decimal(12,2)), 2)
+               cast(round(cast(l_extendedprice as decimal(12,2)) * cast(l_tax as decimal(4,2)), 2)
                     as decimal(12,2)) as freight_value
         from lineitem""",
     "s_customers": """
@@ -255,7 +258,7 @@ SHAPE_SQL = {
                     else 'voucher' end as payment_type,
                l_linenumber as payment_installments,
                cast(round(cast(l_extendedprice as decimal(12,2))
-                          * (1 - cast(l_discount as decimal(12,2))), 2) as decimal(12,2))
+                          * (1 - cast(l_discount as decimal(4,2))), 2) as decimal(12,2))
                    as payment_value
         from lineitem""",
     "s_order_reviews": """
