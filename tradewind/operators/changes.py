@@ -16,22 +16,35 @@ from pyspark.sql import functions as F
 
 from tradewind.functions import columns as X
 from tradewind.operators.cuts import quantile_piece
+from tradewind.session import scratch
 
 START, END = "__START_AT", "__END_AT"
 PROVENANCE = ("_ingestion_timestamp", "_source_file")
-ROW = "__row"
+ROW, ORDER = "__row", "__order"
 
 
 def _values(changes: DataFrame, keys: Sequence[str]) -> list[str]:
     return [c for c in changes.columns if c not in keys]
 
 
-def _order(changes: DataFrame, keys: Sequence[str], sequence_by: str | None) -> list[Column]:
-    """Order of two changes of one key, as struct fields."""
+def _with_order(changes: DataFrame, keys: Sequence[str], sequence_by: str | None) -> DataFrame:
+    """Adds what decides between two changes of one key, computed once per row."""
     fields = [] if sequence_by is None else [F.col(sequence_by).alias("s")]
     fields += [F.col(c).alias(f"p{i}") for i, c in enumerate(PROVENANCE)
                if c in changes.columns and c != sequence_by]
-    return [*fields, F.xxhash64(*_values(changes, keys)).alias("h")]
+    return changes.withColumn(ORDER, F.struct(
+        *fields, F.xxhash64(*_values(changes, keys)).alias("h")))
+
+
+def _known(column: str) -> Column:
+    """The column's value with its order, or NULL where there is no value."""
+    return F.when(F.col(column).isNotNull(),
+                  F.struct(F.col(ORDER).alias("o"), F.col(column).alias("v")))
+
+
+def _whole(columns: Sequence[str]) -> Column:
+    """All columns of the row with their order."""
+    return F.struct(F.col(ORDER).alias("o"), F.struct(*[F.col(c) for c in columns]).alias("v"))
 
 
 # --- type 1 ------------------------------------------------------------------
@@ -44,14 +57,10 @@ def scd1_state(changes: DataFrame, keys: Sequence[str], sequence_by: str,
     in any order and any number of times. Winners are maxima, which combine
     before the shuffle, so a key with very many changes stays cheap.
     """
-    values, order = _values(changes, keys), _order(changes, keys, sequence_by)
-    if ignore_null_updates:
-        winners = [F.max(F.when(F.col(c).isNotNull(), F.struct(*order, F.col(c).alias("v"))))
-                   .alias(c) for c in values]
-    else:
-        row = F.struct(*[F.col(c) for c in values])
-        winners = [F.max(F.struct(*order, row.alias("v"))).alias(ROW)]
-    return changes.groupBy(*keys).agg(*winners)
+    values = _values(changes, keys)
+    winners = ([F.max(_known(c)).alias(c) for c in values] if ignore_null_updates
+               else [F.max(_whole(values)).alias(ROW)])
+    return _with_order(changes, keys, sequence_by).groupBy(*keys).agg(*winners)
 
 
 def merge_states(states: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -80,14 +89,11 @@ def one_change_per_sequence(changes: DataFrame, keys: Sequence[str], sequence_by
     """Collapses changes of one key that carry the same sequence."""
     grain = [*keys, sequence_by]
     values = _values(changes, grain)
-    order = _order(changes, keys, None)
-    order = [F.struct(*order).alias("o")]
+    groups = _with_order(changes, keys, None).groupBy(*grain)
     if ignore_null_updates:
-        won = [F.max(F.when(F.col(c).isNotNull(), F.struct(*order, F.col(c).alias("v"))))["v"]
-               .alias(c) for c in values]
-        return changes.groupBy(*grain).agg(*won).select(*changes.columns)
-    row = F.max(F.struct(*order, F.struct(*[F.col(c) for c in values]).alias("v")))["v"]
-    return changes.groupBy(*grain).agg(row.alias(ROW)).select(
+        return groups.agg(*[F.max(_known(c))["v"].alias(c) for c in values]).select(
+            *changes.columns)
+    return groups.agg(F.max(_whole(values))["v"].alias(ROW)).select(
         *grain, f"{ROW}.*").select(*changes.columns)
 
 
@@ -126,10 +132,17 @@ def scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
     versions = build.by_key(singles(light.repartition(*keys)))
     if heavy is None:
         return versions
-    large = singles(changes.join(heavy, list(keys), "left_semi"))
+    large = _stored(singles(changes.join(heavy, list(keys), "left_semi")))
     return versions.unionByName(build.by_stretch(large, max_rows_per_key))
 
 
+def _stored(rows: DataFrame) -> DataFrame:
+    """Rows written once to the shared folder, for plans that read them several times."""
+    path = scratch(rows.sparkSession, "heavy-keys")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 class _Versions:
     def __init__(self, keys, seq, tracked, values, fill):
         self.keys, self.seq, self.tracked, self.values, self.fill = (
