@@ -7,17 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LOOKUP_MAX_ROWS = 200_000
+LOOKUP_MAX_ROWS = 100_000
+LOOKUP_MAX_CHARS = 32 << 20
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> bool:
-    """Counts no further than the bound, so the check itself stays small."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Bounds rows and text size; looks no further than the row bound, so it stays small."""
+    seen = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0)).alias("chars")).first()
+    return seen.n <= max_rows and seen.chars <= LOOKUP_MAX_CHARS
 
 
 def lookup_join(left: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "left",
                 max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
-    """Join to a lookup table: broadcast when its row count is proven small, else shuffled."""
+    """Join to a lookup table: broadcast when it is proven small, else left to Spark."""
     side = F.broadcast(small) if fits_broadcast(small, max_rows) else small
     return left.join(side, on, how)
 

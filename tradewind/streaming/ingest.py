@@ -22,6 +22,7 @@ from tradewind.sources.landing import CSV_TEXT, rescue_cast
 
 RESCUED = "_rescued_data"
 MALFORMED = "_malformed"
+OTHER_HEADER = "CSV header does not conform to the schema"  # as Spark reports it
 
 
 class SchemaWidened(Exception):
@@ -115,12 +116,25 @@ def _ingest_csv(spark, reader, src_dir, out_dir, checkpoint, glob, files_per_bat
     def take(batch: DataFrame, batch_id: int) -> None:
         nonlocal total
         paths = [r.path for r in batch.collect()]  # at most files_per_batch names
-        if paths:
+        if not paths:
+            return
+
+        def store(rows: DataFrame) -> int:
             written = Observation()
-            rows = reader.read(paths).withColumn(ingested, F.current_timestamp())
-            (rows.observe(written, X.rows().alias("n")).write.mode("overwrite")
+            (rows.withColumn(ingested, F.current_timestamp())
+             .observe(written, X.rows().alias("n")).write.mode("overwrite")
              .parquet(os.path.join(out_dir, f"batch_id={batch_id}")))
-            total += written.get["n"]
+            return written.get["n"]
+
+        usual = reader.read_usual(paths)
+        if usual is not None:
+            try:
+                total += store(usual)
+                return
+            except Exception as error:
+                if OTHER_HEADER not in str(error):
+                    raise
+        total += store(reader.read(paths))
 
     stream = (listing.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
               .trigger(availableNow=True).start())
@@ -139,7 +153,19 @@ class _CsvReader:
         return self.spark.read.options(
             **self.options, inferSchema=True, samplingRatio=self.sampling).csv(paths).schema
 
+    def read_usual(self, paths: Sequence[str]) -> DataFrame | None:
+        """All files under the known columns in one pass; Spark rejects any other header."""
+        known = self.fixed or load_schema(self.spark, self.checkpoint)
+        if known is None:
+            return None
+        listed = self.spark.read.options(**self.options).csv(list(paths)).columns
+        header = [c for c in listed if c in known.names]
+        if header != listed:
+            return None
+        return self._rows(header, paths, known, check=True)
+
     def read(self, paths: Sequence[str]) -> DataFrame:
+        """Files grouped by their headers; a first look at every file finds those."""
         groups = self._by_header(paths)
         known = self.fixed or load_schema(self.spark, self.checkpoint)
         if self.fixed is None:
@@ -175,15 +201,15 @@ class _CsvReader:
             groups.setdefault(row.header, []).append(row.path)
         return {tuple(self._names(group)): group for group in groups.values()}
 
-    def _rows(self, header: Sequence[str], paths: Sequence[str], known: T.StructType
-              ) -> DataFrame:
-        partitions = [f.name for f in known.fields if f.name not in header]
-        listed = self.spark.read.options(**self.options).csv(list(paths))
-        from_path = [c for c in listed.columns if c in partitions]
-        fields = [c for c in header if c not in from_path]
+    def _rows(self, header: Sequence[str], paths: Sequence[str], known: T.StructType,
+              check: bool = False) -> DataFrame:
+        in_files = self.spark.read.options(header=True, escape='"',
+                                           multiLine=self.options["multiLine"]).csv(paths[0])
+        fields = [c for c in header if c in in_files.columns]  # the others come from folders
         texts = T.StructType([T.StructField(c, T.StringType()) for c in [*fields, MALFORMED]])
         rows = (self.spark.read.schema(texts)
-                .options(**self.options, columnNameOfCorruptRecord=MALFORMED)
+                .options(**self.options, columnNameOfCorruptRecord=MALFORMED,
+                         enforceSchema=not check)
                 .csv(list(paths)).withColumn(SOURCE, F.col("_metadata.file_path")))
         if not self.rescue:
             return rescue_cast(rows, known, RESCUED, MALFORMED).drop(RESCUED)
