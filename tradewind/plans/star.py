@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions import columns as X
-from tradewind.operators import joins, ranking
+from tradewind.operators import joins
 
 
 def payments_per_order(payments: DataFrame) -> DataFrame:
@@ -61,22 +61,24 @@ def fact_orders(enriched: DataFrame) -> DataFrame:
 
 
 def dim_customers(enriched: DataFrame) -> DataFrame:
-    """One row per person, placed where the most recent order came from."""
-    history = enriched.groupBy("customer_unique_id").agg(
+    """One row per person, placed where the most recent order came from.
+
+    The place is an aggregate too (latest order first, then names in order), so
+    the orders are read and shuffled once.
+    """
+    bought = F.col("order_purchase_ts")
+    latest_first = F.struct(bought.isNull(), -F.unix_micros(bought.cast("timestamp")),
+                            F.col("customer_state"), F.col("customer_city"))
+    people = enriched.groupBy("customer_unique_id").agg(
         X.rows().alias("n_orders"),
         F.sum("order_total").alias("lifetime_value"),
-        F.min("order_purchase_ts").alias("first_order_ts"),
-        F.max("order_purchase_ts").alias("last_order_ts"))
-    place = ranking.latest_per_key(
-        enriched.select("customer_unique_id", "customer_state", "customer_city",
-                        "order_purchase_ts"),
-        ["customer_unique_id"],
-        [F.desc("order_purchase_ts"), F.asc("customer_state"), F.asc("customer_city")])
-    return (history.join(place.drop("order_purchase_ts"), "customer_unique_id")
-            .select(X.surrogate_key("customer_unique_id").alias("customer_sk"),
-                    "customer_unique_id", "customer_state", "customer_city", "n_orders",
-                    "lifetime_value", "first_order_ts", "last_order_ts",
-                    (F.col("n_orders") > 1).alias("is_repeat_customer")))
+        F.min(bought).alias("first_order_ts"),
+        F.max(bought).alias("last_order_ts"),
+        F.min_by(F.struct("customer_state", "customer_city"), latest_first).alias("place"))
+    return people.select(
+        X.surrogate_key("customer_unique_id").alias("customer_sk"), "customer_unique_id",
+        "place.customer_state", "place.customer_city", "n_orders", "lifetime_value",
+        "first_order_ts", "last_order_ts", (F.col("n_orders") > 1).alias("is_repeat_customer"))
 
 
 def product_labels(products: DataFrame, translation: DataFrame) -> DataFrame:
