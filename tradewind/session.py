@@ -31,7 +31,8 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def local_session(app: str = "tradewind", cores: int | str = "*", memory: str = "8g",
-                  shuffle_partitions: int = 8) -> SparkSession:
+                  shuffle_partitions: int = 8, conf: dict[str, str] | None = None
+                  ) -> SparkSession:
     """A single-machine session for tests and the bench; clusters bring their own."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]").appName(app)
@@ -41,7 +42,7 @@ def local_session(app: str = "tradewind", cores: int | str = "*", memory: str =
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tradewind-wh-"))
     )
-    for key, value in RUNTIME_CONF.items():
+    for key, value in {**RUNTIME_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
