@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import rules
+from tradewind.llm import licences, rules
 from tradewind.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_license_scan")
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases and template spans of every document; the score is the best share of a template."""
+    rows = licences.scan(table(spark, sf_dir, "documents"))
+    base, spans = F.col("places.label"), F.col("spans.label")
+    joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    score = F.greatest(F.coalesce(F.array_max("spans.covered"), F.lit(0.0)),
+                       F.when(F.size("places") > 0, 0.5).otherwise(0.0))
+    return rows.select("doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+                       F.array_min("places.start").alias("first_word"),
+                       F.array_max("places.start").alias("last_word"), joined(base).alias("base_labels"),
+                       joined(F.concat(base, spans)).alias("labels"), score.alias("score"))
+
+
 @query("op4_quality_rules")
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ledger of every document with the base verdict and the standard policy's."""
