@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import licences, rules
+from tradewind.llm import compression, licences, rules
 from tradewind.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,16 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                        joined(F.concat(base, spans)).alias("labels"), score.alias("score"))
 
 
+@query("op2_quality_classifier")
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compression score of every document; held-out rows show how it does on labels not learned."""
+    docs = table(spark, sf_dir, "documents")
+    model = compression.fit(docs, table(spark, sf_dir, "labels"))
+    return compression.score(docs, model).select(
+        "doc_id", compression.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 @query("op4_quality_rules")
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ledger of every document with the base verdict and the standard policy's."""
