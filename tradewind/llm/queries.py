@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import compression, licences, rules
+from tradewind.llm import compression, licences, rules, urls
 from tradewind.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,32 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.col("failed").bitwiseAND(F.lit(rules.BASE.mask)) != 0
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                        base.alias("base_failed"), "kept", "failed")
+
+
+def _pairs(pairs: tuple[tuple[str, str], ...], verdict: str) -> str:
+    return ", ".join(f"('{h}', '{p}', '{verdict}')" for h, p in pairs)
+
+
+@query("op10_url_filters", f"""
+with parts as (
+  select page_id, url, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest
+  from pages),
+hosts as (
+  select page_id, regexp_extract(rest, '^[^/?#]*') as raw, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+  from parts),
+urls as (
+  select page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, path from hosts),
+rules(rule_host, rule_path, verdict) as (values {_pairs(urls.ALLOW, 'allow')}, {_pairs(urls.BLOCK, 'block')}),
+bad(bad_host, bad_path, verdict) as (values {_pairs(urls.BLOCKED_HOSTS, 'block')}),
+best as (
+  select u.page_id, u.host, u.path, max_by(rule_host || rule_path, length(rule_host || rule_path)) as rule,
+         max_by(verdict, length(rule_host || rule_path)) as verdict
+  from urls u left join rules r
+    on (u.host = rule_host or ends_with(u.host, '.' || rule_host)) and starts_with(u.path, rule_path)
+  group by all)
+select page_id, host, path, rule, coalesce(verdict, case when exists (
+         select 1 from bad where host = bad_host or ends_with(host, '.' || bad_host)) then 'block' else 'allow' end) as verdict
+from best""")
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page judged by the rules, and by the blocked hosts where none fits."""
+    return urls.judge(table(spark, sf_dir, "pages"), list(urls.ALLOW), list(urls.BLOCK))
