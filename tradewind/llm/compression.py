@@ -10,6 +10,7 @@ dictionary has seen.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -111,7 +112,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
     """Fit on at most ``rows_per_class`` labelled rows of each class, chosen by a hash of their id.
 
     Held-out ids are left out, and so are null, empty and over ``LONGEST_SAMPLE`` byte texts, which
-    bounds what the driver holds. Of an id labelled both ways, both labels count.
+    bounds what the driver holds. Of an id labelled both ways, both labels count; of an id with
+    several texts, the smallest.
     """
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("y")) \
         .where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()).distinct()
@@ -123,8 +125,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
     text = F.col(text_col)
     found = (docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
              .where(text.isNotNull() & F.octet_length(text).between(1, LONGEST_SAMPLE))
-             .join(F.broadcast(chosen), "doc_id")  # bounded by the limit above
-             .orderBy(*order, "y", "text").limit(4 * rows_per_class).select("text", "y").collect())
+             .join(F.broadcast(chosen), "doc_id")  # bounded by the limits above
+             .groupBy("doc_id", "y").agg(F.min("text").alias("text")).collect())  # one row per chosen id
+    found.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), str(r["doc_id"]), r["y"]))
     return fit_sample([(r["text"].encode(), r["y"]) for r in found])
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import compression, licences, rules, urls
+from tradewind.llm import compression, licences, rules, secrets, urls
 from tradewind.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +60,49 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        base.alias("base_failed"), "kept", "failed")
 
 
+def _span_sql(rule: secrets.Rule, number: int) -> str:
+    """Spans of one rule as a list of structs, in DuckDB's SQL."""
+    pattern = rule.pattern.replace("'", "''")
+    return f"""(
+    select list_filter(list_transform(range(1, len(found) + 1), lambda i: {{
+             'start': coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0)
+                      + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0),
+             'number': {number}, 'kind': '{rule.kind}', 'len': length(found[i]), 'size': length(parts[i])}}),
+             lambda s: s.size >= {rule.least})
+    from (select string_split_regex(body, '{pattern}') as gaps,
+                 regexp_extract_all(body, '{pattern}', 0) as found,
+                 regexp_extract_all(body, '{pattern}', {rule.group}) as parts))"""
+
+
+SECRET_SQL = f"""
+with bodies as (select doc_id, coalesce(text, '') as body from documents),
+spans as (
+  select doc_id, {", ".join(f"{_span_sql(r, i)} as s{i}" for i, r in enumerate(secrets.RULES))} from bodies),
+sorted as (
+  select doc_id, len(s0) as n_assign, len(s1) as n_access, len(s2) as n_hex,
+         list_sort(list_concat({", ".join(f"s{i}" for i in range(len(secrets.BASE)))})) as base,
+         list_sort(list_concat({", ".join(f"s{i}" for i in range(len(secrets.RULES)))})) as every
+  from spans)
+select doc_id, n_assign, n_access, n_hex,
+       sha256(array_to_string(list_transform(base,
+              lambda s: s.kind || ':' || s.start::bigint || ':' || (s.start + s.len)::bigint), ',')) as base_sha256,
+       array_to_string(list_transform(every,
+              lambda s: s.kind || ':' || s.start::bigint || ':' || (s.start + s.len)::bigint), ',') as spans
+from sorted"""
+
+
+@query("op9_secret_scan", SECRET_SQL)
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of all kinds in every document, and the base kinds counted and digested."""
+    rows = secrets.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    shown = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", *(
+        s[k].cast("string") for k in ("kind", "start", "end")))), ",")
+    of = lambda *kinds: F.filter("secret_spans", lambda s: s["kind"].isin(*kinds))
+    return rows.select("doc_id", *[F.size(of(r.kind)).cast("long").alias(f"n_{r.kind}") for r in secrets.BASE],
+                       F.sha2(shown(of(*[r.kind for r in secrets.BASE])), 256).alias("base_sha256"),
+                       shown(F.col("secret_spans")).alias("spans"))
+
+
 def _pairs(pairs: tuple[tuple[str, str], ...], verdict: str) -> str:
     return ", ".join(f"('{h}', '{p}', '{verdict}')" for h, p in pairs)
 
