@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import compression, licences, rules, secrets, urls
+from tradewind.llm import bpe, compression, licences, rules, secrets, urls
 from tradewind.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +61,17 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        base.alias("base_failed"), "kept", "failed")
 
 
+@query("op8_bpe_round_trip")
+def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again, with digests of the ids and of the decoded text."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), "ids")
+    return bpe.decode(encoded, path).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def _span_sql(rule: secrets.Rule, number: int) -> str:
     """Spans of one rule as a list of structs, in DuckDB's SQL."""
     pattern = rule.pattern.replace("'", "''")
