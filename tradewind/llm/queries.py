@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import bpe, compression, licences, rules, secrets, urls
-from tradewind.session import tune
+from tradewind.llm import bpe, compression, licences, records, rules, secrets, urls
+from tradewind.session import scratch, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -61,6 +61,15 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        base.alias("base_failed"), "kept", "failed")
 
 
+@query("op7_token_records")
+def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids as read back from the record files."""
+    folder = scratch(spark, "records")
+    records.write(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    found = records.read(records.index(spark, folder), folder)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query("op8_bpe_round_trip")
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again, with digests of the ids and of the decoded text."""
