@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import bpe, compression, licences, records, rules, secrets, urls
+from tradewind.llm import bpe, compression, decontaminate, licences, records, rules, secrets, urls
 from tradewind.session import scratch, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,12 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+@query("op3_benchmark_decontamination")
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item within the word budget, with the item."""
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op4_quality_rules")
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ledger of every document with the base verdict and the standard policy's."""

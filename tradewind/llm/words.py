@@ -21,8 +21,11 @@ _BYTE = _SEEDED.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uin
 _BASE = int(_SEEDED.integers(1, 2**62)) * 2 + 1
 _PLACE = _SEEDED.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+# Bytes that end a word: white space, or everything in ASCII but digits and letters.
+WHITE_SPACE = np.zeros(256, bool)
+WHITE_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+NO_LETTER = np.ones(256, bool)
+NO_LETTER[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -93,12 +96,12 @@ class Words:
     of_text: np.ndarray
 
 
-def split_words(block: Block, lower: bool) -> Words:
-    """Runs of bytes other than space and U+0009 to U+000D; ``lower`` treats A-Z as a-z."""
+def split_words(block: Block, lower: bool, between: np.ndarray = WHITE_SPACE) -> Words:
+    """Runs of bytes other than those ``between`` words; ``lower`` treats A-Z as a-z."""
     data, offsets = block.data, block.offsets
     size = len(data)
     inside = np.zeros(size + 2, bool)
-    inside[1:-1] = ~_SPACE[data]
+    inside[1:-1] = ~between[data]
     cut = np.zeros(size + 1, bool)
     cut[offsets] = True
     starts = np.flatnonzero(inside[1:-1] & (~inside[:-2] | cut[:-1]))
