@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import bpe, compression, decontaminate, licences, records, rules, secrets, urls
+from tradewind.llm import bpe, compression, decontaminate, licences, records, rules, secrets, toxicity, urls
 from tradewind.session import scratch, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,6 +67,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        base.alias("base_failed"), "kept", "failed")
 
 
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chained category probabilities of every document; toxic from one half on."""
+    docs = table(spark, sf_dir, "documents")
+    chain = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, chain).withColumn("toxic", F.col("p_toxic") >= 0.5)
+
+
 @query("op7_token_records")
 def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids as read back from the record files."""

@@ -143,8 +143,28 @@ def shingle_set(hashes: np.ndarray, size: int) -> np.ndarray:
     """Sorted distinct hashes of a text's shingles; a shorter text is one shingle of all its words."""
     if 0 < len(hashes) < size:
         # the count enters, so that a short text never equals a window of ``size`` words
-        return mix(np.array([(hashes * _PLACE[:len(hashes)]).sum() + np.uint64(len(hashes)) * MIX], np.uint64))
+        return mix(np.array([(hashes * _PLACE[:len(hashes)]).sum() + np.uint64(len(hashes) * int(MIX) % 2**64)], np.uint64))
     found = np.sort(windows(hashes, size))
     if len(found) > 1:
         found = found[np.concatenate([[True], found[1:] != found[:-1]])]
     return found
+
+
+def word_starts(block: Block, words: Words, sizes: range, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the first bytes of each word longer than that, for each size, and their words' numbers."""
+    table = _BYTE
+    if lower:
+        table = _BYTE.copy()
+        table[65:91] = table[97:123]
+    numbers = np.flatnonzero(words.ends - words.starts > sizes[0])
+    total = np.zeros(len(numbers), np.uint64)
+    hashes, of = [], []
+    for size in range(1, sizes[-1] + 1):
+        if size > sizes[0]:
+            longer = words.ends[numbers] - words.starts[numbers] > size
+            numbers, total = numbers[longer], total[longer]
+        total = total + table[block.data[words.starts[numbers] + size - 1]] * _powers(size)[size - 1]
+        if size in sizes:
+            hashes.append(mix(total + np.uint64(size * int(MIX) % 2**64)))
+            of.append(numbers)
+    return np.concatenate(hashes), np.concatenate(of)
