@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import bpe, compression, decontaminate, licences, records, rules, secrets, toxicity, urls
+from tradewind.llm import bpe, compression, decontaminate, jaccard, licences, records, rules, secrets, toxicity, urls
 from tradewind.session import scratch, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,6 +67,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        base.alias("base_failed"), "kept", "failed")
 
 
+@query("op5_ngram_jaccard_join")
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle count and near-duplicate component of every document."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op6_toxicity")
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chained category probabilities of every document; toxic from one half on."""

@@ -143,7 +143,8 @@ def shingle_set(hashes: np.ndarray, size: int) -> np.ndarray:
     """Sorted distinct hashes of a text's shingles; a shorter text is one shingle of all its words."""
     if 0 < len(hashes) < size:
         # the count enters, so that a short text never equals a window of ``size`` words
-        return mix(np.array([(hashes * _PLACE[:len(hashes)]).sum() + np.uint64(len(hashes) * int(MIX) % 2**64)], np.uint64))
+        total = np.add.reduce(hashes * _PLACE[:len(hashes)], keepdims=True)
+        return mix(total + np.uint64(len(hashes) * int(MIX) % 2**64))
     found = np.sort(windows(hashes, size))
     if len(found) > 1:
         found = found[np.concatenate([[True], found[1:] != found[:-1]])]
