@@ -226,3 +226,31 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     for part in parts:
         search(part).write.mode("append").parquet(folder)
     return spark.read.schema(kind).parquet(folder)
+
+
+def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
+          item_text_col: str = "text") -> DataFrame:
+    """The rows of the input that no item matches, with all their columns and without a shuffle.
+
+    Each row is judged by its own text. More than one block of items is worked off one block after
+    the other, each on what is left, through the shared folder.
+    """
+    place, schema = docs.columns.index(text_col), docs.schema
+
+    def without(rows: DataFrame, block_of_items: Items) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                for block in blocks(batch.column(place)):
+                    keep[[block.first + f[0] for f in block_of_items.search(block)]] = False
+                yield batch.filter(pa.array(keep))
+        return rows.mapInArrow(run, schema)
+
+    folder = None
+    for number, part in enumerate(item_blocks(items, item_col, item_text_col)):
+        if number:
+            folder = folder or scratch(docs.sparkSession, "decontaminated")
+            docs.write.parquet(f"{folder}/{number}")
+            docs = docs.sparkSession.read.schema(schema).parquet(f"{folder}/{number}")
+        docs = without(docs, part)
+    return docs
