@@ -18,16 +18,27 @@ MODEL_SQL.update({
         select order_id, cast(sum(payment_value) as double) as total_paid,
                count(*) as n_payment_rows, max(payment_installments) as max_installments
         from s_order_payments group by order_id""",
+    # all money of an order from one list of its item and payment lines
+    "m_money": """
+        select order_id, count(price) as item_count, coalesce(sum(price), 0) as items_total,
+               coalesce(sum(freight_value), 0) as freight_total,
+               coalesce(sum(price + freight_value), 0) as order_total,
+               cast(sum(payment_value) as double) as total_paid,
+               max(payment_installments) as max_installments
+        from (select order_id, price, freight_value from s_order_items
+              union all by name
+              select order_id, payment_value, payment_installments from s_order_payments)
+        group by order_id""",
     "m_enriched": """
-        select o.*, c.* exclude (customer_id), ifnull(i.item_count, 0) as item_count,
-               ifnull(i.items_total, 0) as items_total,
-               ifnull(i.freight_total, 0) as freight_total,
-               ifnull(i.items_total + i.freight_total, 0) as order_total,
-               p.total_paid, p.max_installments,
-               o.delivered_at::date - o.order_purchase_ts::date as days_to_deliver,
-               (o.delivered_at > o.estimated_delivery_at is true)::int as is_late
-        from s_orders o left join s_customers c using (customer_id)
-             left join m_items i using (order_id) left join m_payments p using (order_id)""",
+        select s_orders.*, who.* exclude (customer_id),
+               coalesce(m.item_count, 0) as item_count, coalesce(m.items_total, 0) as items_total,
+               coalesce(m.freight_total, 0) as freight_total,
+               coalesce(m.order_total, 0) as order_total, m.total_paid, m.max_installments,
+               date_diff('day', order_purchase_ts, delivered_at) as days_to_deliver,
+               case when epoch_us(delivered_at) - epoch_us(estimated_delivery_at) > 0
+                    then 1 else 0 end as is_late
+        from m_money m right join s_orders using (order_id)
+             left join s_customers who using (customer_id)""",
     "m_people": """
         select customer_unique_id, count(*) as n_orders, sum(order_total) as lifetime_value,
                min(order_purchase_ts) as first_order_ts, max(order_purchase_ts) as last_order_ts,
@@ -466,11 +477,15 @@ def delivery_by_customer_state(t):
 
 
 @query("n39_monthly_revenue_star", """
-    select l.category, cast(date_trunc('month', o.order_purchase_ts) as date) as order_month,
-           count(distinct o.order_id) as order_count, cast(sum(i.price) as double) as revenue
-    from s_order_items i join m_enriched o on o.order_id = i.order_id
-         left join m_labels l on l.product_id = i.product_id
-    where o.order_status = 'delivered' group by all""")
+    with baskets as (
+        select order_id, sum(price) as price,
+               (select category from m_labels l where l.product_id = i.product_id) as category
+        from s_order_items i group by order_id, 3)
+    select category, last_day(order_purchase_ts) - day(last_day(order_purchase_ts))::int + 1 as order_month,
+           count(*) as order_count, cast(sum(price) as double) as revenue
+    from baskets semi join (select order_id from s_orders where order_status = 'delivered') using (order_id)
+         join s_orders using (order_id)
+    group by 1, 2""")
 def _(t):
     return gold.monthly_revenue_star(t.order_items, fact(t), labels(t))
 
@@ -497,27 +512,35 @@ def _(t):
 
 
 @query("n41_customer_cohorts", """
-    select cast(date_trunc('month', first_order_ts) as date) as cohort_month,
-           count(*) as n_customers, count(*) filter (where n_orders > 1) as n_repeat_customers,
-           round(100.0 * count(*) filter (where n_orders > 1) / count(*), 2)
-               as repeat_customer_pct,
-           round(cast(sum(lifetime_value) as double) / count(*), 2) as avg_lifetime_value
-    from m_people group by 1""")
+    with orders as (
+        select order_purchase_ts as placed, coalesce((select sum(price + freight_value) from s_order_items i
+                                                  where i.order_id = o.order_id), 0) as total,
+               (select customer_unique_id from s_customers c where c.customer_id = o.customer_id) as person
+        from s_orders o),
+    ranked as (
+        select date_trunc('month', min(placed) over whole)::date as cohort_month, total,
+               row_number() over (partition by person order by placed) as nth
+        from orders window whole as (partition by person))
+    select cohort_month, count(*) filter (where nth = 1) as n_customers,
+           count(*) filter (where nth = 2) as n_repeat_customers,
+           round(100.0 * n_repeat_customers / n_customers, 2) as repeat_customer_pct,
+           round(sum(total)::double / n_customers, 2) as avg_lifetime_value
+    from ranked group by cohort_month""")
 def _(t):
     return gold.customer_cohorts(star.dim_customers(enriched(t)))
 
 
 @query("n42_review_sentiment", """
-    with r as (
-        select distinct i.order_id, l.category from s_order_items i
-        left join m_labels l on l.product_id = i.product_id)
-    select r.category, count(v.review_score) as n_reviews,
-           round(avg(v.review_score), 2) as avg_review_score,
-           round(100.0 * count(*) filter (where v.review_score = 1) / count(v.review_score), 1)
-               as pct_1_star,
-           round(100.0 * count(*) filter (where v.review_score = 5) / count(v.review_score), 1)
-               as pct_5_star
-    from r join s_order_reviews v on v.order_id = r.order_id group by r.category""")
+    with shelves as (
+        select category, list(distinct order_id) as orders
+        from s_order_items left join m_labels using (product_id) group by category),
+    told as (
+        select category, review_score as score
+        from (select category, unnest(orders) as order_id from shelves) join s_order_reviews using (order_id))
+    select category, count(score) as n_reviews, round(avg(score), 2) as avg_review_score,
+           round(avg(100.0 * (score = 1)::int), 1) as pct_1_star,
+           round(avg(100.0 * (score = 5)::int), 1) as pct_5_star
+    from told group by category""")
 def _(t):
     return gold.review_sentiment_by_category(t.order_items, labels(t), t.order_reviews)
 
