@@ -35,7 +35,7 @@ def prepare_landing(spark: SparkSession, csv_by_table: Mapping[str, str], out_di
         try:
             frames[table] = read_text_csv(spark, path, table in multiline)
         except AnalysisException as error:
-            if "PATH_NOT_FOUND" not in str(error):
+            if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             missing.append(path)
     if missing:

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from tradewind.functions import columns as X
 from tradewind.plans.silver import INGESTED, SOURCE
 from tradewind.sources.landing import CSV_TEXT, rescue_cast
+from tradewind.streaming.progress import run_to_end
 
 RESCUED = "_rescued_data"
 MALFORMED = "_malformed"
@@ -44,7 +45,7 @@ def load_schema(spark: SparkSession, checkpoint: str) -> T.StructType | None:
     try:
         kept = spark.read.schema("revision int, body string").json(_schema_dir(checkpoint))
     except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
     return T.StructType.fromJson(json.loads(
@@ -93,11 +94,10 @@ def _ingest_parquet(spark, src_dir, out_dir, checkpoint, glob, schema, files_per
             raise SchemaWidened(f"new columns {wider.names[len(stored.names):]} in {src_dir}")
     files = (spark.readStream.schema(stored).options(**options)
              .option("maxFilesPerTrigger", files_per_batch).parquet(src_dir))
-    stream = (with_provenance(files, ingested).writeStream.format("parquet")
+    writer = (with_provenance(files, ingested).writeStream.format("parquet")
               .option("path", out_dir).option("checkpointLocation", checkpoint)
-              .outputMode("append").trigger(availableNow=True).start())
-    stream.awaitTermination()
-    return sum(p.numInputRows for p in stream.recentProgress)
+              .outputMode("append").trigger(availableNow=True))
+    return run_to_end(spark, writer)[0]
 
 
 def _ingest_csv(spark, reader, src_dir, out_dir, checkpoint, glob, files_per_batch,
