@@ -68,6 +68,48 @@ def _(t):
     return versions(t, max_rows_per_key=60)
 
 
+def _sequence_variant(t, sequence, **options):
+    """The event changes with another sequence column, as one uncut and one cut table."""
+    rows = t.changes.withColumn("seq", sequence).select("user_id", "seq", "event_type", "value")
+    both = [C.scd2(rows, ["user_id"], "seq", track_except=["value"], ignore_null_updates=True,
+                   max_rows_per_key=most, **options).withColumn("cut", F.lit(most < 1000))
+            for most in (2_000_000, 60)]
+    return both[0].unionByName(both[1])
+
+
+@query("i6_text_sequence", """
+    select user_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as seq, event_type, value,
+           strftime("__START_AT", '%Y-%m-%d %H:%M:%S.%f') as "__START_AT",
+           strftime("__END_AT", '%Y-%m-%d %H:%M:%S.%f') as "__END_AT", cut
+    from m_versions, (values (true), (false)) c(cut)""")
+def _(t):
+    """A text sequence orders as text, whether keys are cut or not."""
+    return _sequence_variant(t, F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+@query("i6_null_sequence", """
+    with kept as (select * from s_changes where event_type <> 'error'),
+    filled as (
+        select user_id, ts, event_type, last_value(value ignore nulls) over (
+                   partition by user_id order by ts rows unbounded preceding) as value
+        from kept),
+    starts as (
+        select *, lag(event_type) over (partition by user_id order by ts) as was from filled),
+    spans as (
+        select user_id, ts as start_at, lead(ts) over (partition by user_id order by ts) as end_at
+        from starts where was is distinct from event_type)
+    select s.user_id, f.ts as seq, f.event_type, f.value, s.start_at as "__START_AT",
+           s.end_at as "__END_AT", cut
+    from spans s join filled f on f.user_id = s.user_id and f.ts >= s.start_at
+                                  and (s.end_at is null or f.ts < s.end_at),
+         (values (true), (false)) c(cut)
+    qualify row_number() over (partition by s.user_id, s.start_at, cut order by f.ts desc) = 1""")
+def _(t):
+    """Changes without a sequence are left out on request, alike for keys of every size."""
+    return _sequence_variant(t, F.when(F.col("event_type") != "error", F.col("ts")),
+                             on_missing_sequence="skip")
+
+
 @query("i7_sequence_conflicts", """
     select review_id, max(review_answer_timestamp) as review_answer_timestamp,
            arg_max(review_score, review_answer_timestamp) as review_score

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.functions import columns as X
-from tradewind.operators.cuts import quantile_piece
 from tradewind.session import scratch
 
 START, END = "__START_AT", "__END_AT"
@@ -97,28 +96,51 @@ def one_change_per_sequence(changes: DataFrame, keys: Sequence[str], sequence_by
         *grain, f"{ROW}.*").select(*changes.columns)
 
 
-def heavy_keys(changes: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame | None:
-    """Keys with more rows than one task should order; at most rows/max_rows of them."""
-    heavy = (changes.groupBy(*keys).agg(X.rows().alias("n"))
-             .filter(F.col("n") > max_rows).select(*keys))
-    found = heavy.collect()
-    if not found:
-        return None
-    return F.broadcast(changes.sparkSession.createDataFrame(found, heavy.schema))
+class MissingSequence(Exception):
+    """A change without a sequence has no place among the versions of its key."""
+
+
+def without_sequence(changes: DataFrame, sequence_by: str) -> DataFrame:
+    """The changes that ``scd2`` cannot place, to be looked at or repaired."""
+    return changes.filter(F.col(sequence_by).isNull())
+
+
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on the keys with NULL equal to NULL; the key columns are those of the left side."""
+    other = {c: f"__r{i}" for i, c in enumerate(keys)}
+    renamed = right.withColumnsRenamed(other)
+    condition = reduce(lambda a, b: a & b, [left[c].eqNullSafe(renamed[n]) for c, n in other.items()])
+    return left.join(renamed, condition, how).drop(*other.values())
+
+
+def heavy_keys(changes: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
+    """Keys with more rows than one task should order; NULL keys count like any other."""
+    return (changes.groupBy(*keys).agg(X.rows().alias("n"))
+            .filter(F.col("n") > max_rows).select(*keys))
 
 
 def scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
          track_except: Sequence[str] = (), ignore_null_updates: bool = False,
-         max_rows_per_key: int = 2_000_000) -> DataFrame:
+         max_rows_per_key: int = 2_000_000, on_missing_sequence: str = "fail") -> DataFrame:
     """One row per version of a key, valid from __START_AT until before __END_AT.
 
     A version lasts while the tracked columns keep their values; the columns in
-    ``track_except`` show the last value known within the version.
+    ``track_except`` show the last value known within the version. The sequence
+    may be of any type that can be ordered. A change without a sequence stops
+    the job, or is left out with ``on_missing_sequence="skip"`` (see
+    ``without_sequence``); NULL keys form a key of their own. All of this is the
+    same for keys of every size.
 
     Keys up to ``max_rows_per_key`` are ordered by one window each. Larger keys
     are cut into stretches of the sequence that are ordered separately and
     connected through one summary row per stretch.
     """
+    if on_missing_sequence == "skip":
+        changes = changes.filter(F.col(sequence_by).isNotNull())
+    else:
+        checked = F.coalesce(F.col(sequence_by), F.raise_error(F.lit(
+            f"MissingSequence: a change has no {sequence_by}")).cast(changes.schema[sequence_by].dataType))
+        changes = changes.withColumn(sequence_by, checked)
     untracked = set(track_except) | {sequence_by}
     tracked = [c for c in _values(changes, keys) if c not in untracked]
     build = _Versions(keys, sequence_by, tracked, _values(changes, keys), ignore_null_updates)
@@ -127,20 +149,33 @@ def scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
         return one_change_per_sequence(rows, keys, sequence_by, ignore_null_updates)
 
     heavy = heavy_keys(changes, keys, max_rows_per_key)
-    light = changes if heavy is None else changes.join(heavy, list(keys), "left_anti")
-    # one shuffle by key serves the collapsing, the windows and the final grouping
+    if heavy.isEmpty():
+        # one shuffle by key serves the collapsing, the windows and the final grouping
+        return build.by_key(singles(changes.repartition(*keys)))
+    heavy = _stored(heavy)
+    light = same_keys(changes, heavy, keys, "left_anti")
+    large = singles(same_keys(changes, heavy, keys, "left_semi"))
     versions = build.by_key(singles(light.repartition(*keys)))
-    if heavy is None:
-        return versions
-    large = _stored(singles(changes.join(heavy, list(keys), "left_semi")))
-    return versions.unionByName(build.by_stretch(large, max_rows_per_key))
+    return versions.unionByName(build.by_stretch(_stretches(large, keys, sequence_by, max_rows_per_key)))
 
 
 def _stored(rows: DataFrame) -> DataFrame:
     """Rows written once to the shared folder, for plans that read them several times."""
     path = scratch(rows.sparkSession, "heavy-keys")
     rows.write.parquet(path)
-    return rows.sparkSession.read.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _stretches(rows: DataFrame, keys: Sequence[str], seq: str, max_rows: int) -> DataFrame:
+    """The rows with the number of their stretch, written once so that it cannot change.
+
+    A range shuffle over keys and sequence cuts each key by its own row count,
+    whatever the type of the sequence, into stretches of about half ``max_rows``;
+    their number grows with the rows and has no upper limit.
+    """
+    rows = _stored(rows)
+    pieces = max(2, math.ceil(2 * rows.count() / max_rows))
+    return _stored(rows.repartitionByRange(pieces, *keys, seq).withColumn("__part", F.spark_partition_id()))
 
 
 class _Versions:
@@ -174,9 +209,8 @@ class _Versions:
         return self._result(self._collapse(runs, "__run").withColumn(
             END, F.lead(START).over(following)))
 
-    def by_stretch(self, rows: DataFrame, max_rows: int) -> DataFrame:
+    def by_stretch(self, rows: DataFrame) -> DataFrame:
         cut = [*self.keys, "__part"]
-        rows = rows.withColumn("__part", _stretch(rows, self.seq, max_rows))
         inside = Window.partitionBy(*cut).orderBy(self.seq)
         known = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         earlier = (Window.partitionBy(*self.keys).orderBy("__part")
@@ -195,7 +229,7 @@ class _Versions:
                 for c in self.filled]).alias("__in"),
                 F.row_number().over(Window.partitionBy(*self.keys).orderBy("__part"))
                 .alias("__nth"))
-            rows = rows.join(entering, cut).withColumns({
+            rows = same_keys(rows, entering, cut, "inner").withColumns({
                 c: F.coalesce(F.last(c, ignorenulls=True).over(known), F.col("__in")[c])
                 for c in self.filled})
         else:
@@ -206,7 +240,7 @@ class _Versions:
                 *cut, F.last("__out").over(earlier).alias("__in"),
                 F.row_number().over(Window.partitionBy(*self.keys).orderBy("__part"))
                 .alias("__nth"))
-            rows = rows.join(entering, cut)
+            rows = same_keys(rows, entering, cut, "inner")
         inherited = F.when(F.col("__nth") > 1,
                            F.struct(*[F.col("__in")[c].alias(c) for c in self.tracked]))
         before = F.coalesce(F.lag(self._state()).over(inside), inherited)
@@ -219,20 +253,13 @@ class _Versions:
         borders = borders.select(
             *cut, F.last("__last", ignorenulls=True).over(earlier).alias("__open"),
             F.first("__first", ignorenulls=True).over(later).alias("__next"))
-        runs = rows.join(borders, cut).withColumn(
+        runs = same_keys(rows, borders, cut, "inner").withColumn(
             "__run", F.coalesce(F.max("__start").over(known), F.col("__open")))
         ends = (runs.filter(F.col("__start").isNotNull())
                 .select(*self.keys, F.col("__start").alias("__run"), F.coalesce(
                     F.lead("__start").over(Window.partitionBy(*cut).orderBy("__start")),
                     F.col("__next")).alias(END)))
-        return self._result(self._collapse(runs, "__run").join(ends, [*self.keys, "__run"]))
-
-
-def _stretch(rows: DataFrame, seq: str, max_rows: int, most: int = 512) -> Column:
-    """Cuts the sequence so that no stretch, and so none of its keys, holds much more
-    than ``max_rows`` rows; beyond ``most`` stretches they grow with the rows."""
-    pieces = min(most, max(2, math.ceil(2 * rows.count() / max_rows)))
-    return quantile_piece(rows, seq, pieces)
+        return self._result(same_keys(self._collapse(runs, "__run"), ends, [*self.keys, "__run"], "inner"))
 
 
 # --- reading a type 2 table --------------------------------------------------
@@ -287,13 +314,14 @@ def incremental(target: DataFrame | None, source: DataFrame, key: Sequence[str],
 
     Rows at or before the newest loaded instant are not looked at again, so late
     corrections are missed unless ``lookback`` names an interval to re-read.
+    A target without any known instant takes every row, also those without a
+    cursor; later runs never take rows without one.
     """
     if target is None or full_refresh:
         return source
     newest = target.agg(F.max(cursor)).scalar()
-    if lookback is not None:
-        newest = newest - F.expr(f"interval {lookback}")
-    return merge(target, source.filter(F.col(cursor) > newest), key)
+    since = newest if lookback is None else newest - F.expr(f"interval {lookback}")
+    return merge(target, source.filter(F.coalesce(F.col(cursor) > since, newest.isNull())), key)
 
 
 VALID_FROM, VALID_TO = "valid_from", "valid_to"
