@@ -13,6 +13,7 @@ from tradewind.checks.marts import SLV_ORDERS_SQL, naive
 from tradewind.checks.registry import query
 from tradewind.functions import columns as X
 from tradewind.operators import changes as C
+from tradewind.operators.quality import DROP, WARN, Rule
 from tradewind.plans import build, gold, silver
 from tradewind.session import scratch
 from tradewind.sources import landing, layout, tables
@@ -150,11 +151,18 @@ def _(t):
     union all select 2, 0
     union all select 3, count(*) from events where event_type = 'view'""")
 def _(t):
-    feed = Feed(t.spark)
-    feed.land(events(t).filter("event_type <> 'view'"))
-    counts = [feed.ingest(), feed.ingest()]
-    feed.land(events(t).filter("event_type = 'view'"))
-    counts.append(feed.ingest())
+    """One file per batch, and more batches than a stream keeps progress reports of."""
+    window = "spark.sql.streaming.numRecentProgressUpdates"
+    before = t.spark.conf.get(window)
+    t.spark.conf.set(window, "3")
+    try:
+        feed = Feed(t.spark, files_per_batch=1)
+        feed.land(events(t).filter("event_type <> 'view'").repartition(6))
+        counts = [feed.ingest(), feed.ingest()]
+        feed.land(events(t).filter("event_type = 'view'").repartition(5))
+        counts.append(feed.ingest())
+    finally:
+        t.spark.conf.set(window, before)
     return t.spark.createDataFrame(list(enumerate(counts, 1)), "run int, n bigint")
 
 
@@ -510,3 +518,78 @@ def _(t):
     path = versioned(t)
     V.restore(t.spark, path, 0)
     return V.as_of_version(t.spark, path)
+
+
+@query("j4_as_of_time", """
+    select order_id, customer_id, 'created' as order_status from s_orders
+    where order_status <> 'canceled'""")
+def _(t):
+    path = versioned(t)
+    first = V.versions(t.spark, path).filter("version = 0").select(
+        F.col("published_at").cast("string").alias("at")).first()["at"]
+    return V.as_of_version(t.spark, path, moment=first)
+
+
+@query("j4_restore_bucketed", "select customer_id, customer_city from s_customers")
+def _(t):
+    """Bucketed versions: all, then all under another city, then the first again and one more batch."""
+    path = scratch(t.spark, "restored")
+    rows = t.customers.select("customer_id", "customer_city")
+    V.publish(rows, path, "create", ["customer_id"], 4)
+    V.publish(rows.withColumn("customer_city", F.lit("elsewhere")), path, "move", ["customer_id"], 4)
+    V.restore(t.spark, path, 0)
+    part = V.as_of_version(t.spark, path, buckets=[1])
+    V.publish(part, path, "touch", ["customer_id"], 4, touched=[1])
+    V.rebucket(t.spark, path, 8)
+    return V.as_of_version(t.spark, path)
+
+
+def changes_in_parts(t, parts, scd_type: int = 2):
+    """A feed whose event files arrive in parts; ``parts`` yields after each applied batch."""
+    feed = Feed(t.spark)
+    spec = silver.ChangeTable(["user_id"], [], ["user_id"], sequence_by="ts",
+                              track_except=["value", silver.SOURCE, silver.INGESTED])
+    target = f"{feed.root}/silver"
+    for n, (rows, then) in enumerate(parts):
+        feed.land(rows)
+        feed.ingest()
+        flows.change_flow(t.spark, feed.bronze, lambda df: df, spec, target,
+                          f"{feed.root}/checkpoint_silver", scd_type, buckets=4 if n == 0 else None)
+        if then is not None:
+            then(target)
+    return target
+
+
+@query("j4_restore_scd2", "select * from m_versions")
+def _(t):
+    """Later changes are applied, taken back by a restore, and do not come back with the next batch."""
+    half = F.lit("2024-01-10").cast("timestamp_ntz")
+    wrong = t.changes.withColumn("event_type", F.lit("wrong")).withColumn("ts", F.col("ts") + F.expr("interval 1 second"))
+    target = changes_in_parts(t, [
+        (t.changes.filter(F.col("ts") < half), None),
+        (wrong, lambda path: V.restore(t.spark, path, 0)),
+        (t.changes.filter(F.col("ts") >= half), None)])
+    return flows.read_type2(t.spark, target).select("user_id", "ts", "event_type", "value", C.START, C.END)
+
+
+@query("k1_flow_rule_counts", """
+    select 'has_customer' as rule, 'drop' as action, count(*) filter (where customer_id % 7 = 0) as violations
+    from s_orders
+    union all select 'is_final', 'warn', count(*) filter (
+        where order_status <> 'delivered' and customer_id % 7 <> 0) from s_orders""")
+def _(t):
+    """What the rules of a change flow found, batch by batch, stays with the table."""
+    feed = Feed(t.spark)
+    landed = t.orders_placed.select("order_id", "order_status", "order_purchase_ts", F.when(
+        F.col("customer_id") % 7 != 0, F.col("customer_id")).alias("customer_id"))
+    spec = silver.ChangeTable(["order_id"], [
+        Rule("has_customer", F.col("customer_id").isNotNull(), DROP),
+        Rule("is_final", F.col("order_status") == "delivered", WARN)], ["order_id"],
+        sequence_by="order_purchase_ts")
+    target = f"{feed.root}/silver"
+    for part in (F.col("order_id") % 2 == 0, F.col("order_id") % 2 == 1):
+        feed.land(landed.filter(part))
+        feed.ingest()
+        flows.change_flow(t.spark, feed.bronze, lambda df: df, spec, target, f"{feed.root}/checkpoint_silver")
+    return flows.rule_results(t.spark, target).groupBy("rule", "action").agg(
+        F.sum("violations").alias("violations"))

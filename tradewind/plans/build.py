@@ -94,7 +94,7 @@ STAGED = {"customers": silver.customers_staged, "order_items": silver.order_item
 
 
 def run_change_layers(spark: SparkSession, sources: Mapping[str, tuple[str, str, str | None]],
-                      out_dir: str, buckets: int = 16) -> dict[str, DataFrame]:
+                      out_dir: str, buckets: int | None = None) -> dict[str, DataFrame]:
     """New files to bronze, bronze changes to silver, silver to gold.
 
     ``sources`` maps a table to (folder, format, file glob); translation is a

@@ -20,7 +20,8 @@ from tradewind.functions import columns as X
 
 BUCKET = "__bucket"
 LIST_SCHEMA = ("version int, published_at timestamp, operation string, rows bigint, "
-               "buckets array<int>, whole boolean, flow string, batch_id bigint")
+               "buckets array<int>, whole boolean, flow string, batch_id bigint, "
+               "keys array<string>, bucket_count int, restored int")
 
 
 def _list(path: str) -> str:
@@ -36,7 +37,7 @@ def versions(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.schema(LIST_SCHEMA).parquet(_list(path))
     except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], LIST_SCHEMA)
 
@@ -51,11 +52,29 @@ def already_published(spark: SparkSession, path: str, flow: str, batch_id: int)
         (F.col("flow") == flow) & (F.col("batch_id") == batch_id)).isEmpty()
 
 
+def bucketing(spark: SparkSession, path: str) -> tuple[list[str], int] | None:
+    """Keys and number of buckets of the newest version; None before the first."""
+    last = versions(spark, path).orderBy(F.desc("version")).select("keys", "bucket_count").first()
+    return None if last is None else (list(last.keys or ()), last.bucket_count or 0)
+
+
+class BucketMismatch(Exception):
+    """Touched buckets of another bucket count cannot join the stored ones."""
+
+
 def publish(df: DataFrame, path: str, operation: str, keys: Sequence[str] = (),
             buckets: int = 0, touched: Sequence[int] | None = None,
-            flow: str | None = None, batch_id: int | None = None) -> int:
-    """Writes the rows as the next version, or as that version's touched buckets."""
+            flow: str | None = None, batch_id: int | None = None,
+            restored: int | None = None) -> int:
+    """Writes the rows as the next version, or as that version's touched buckets.
+
+    Keys and number of buckets are stored with each version. Only a whole
+    version may change them (see ``rebucket``).
+    """
     spark = df.sparkSession
+    known = bucketing(spark, path)
+    if touched is not None and known is not None and known != (list(keys), buckets):
+        raise BucketMismatch(f"the table has {known}, not {(list(keys), buckets)}")
     last = latest_version(spark, path)
     version = 0 if last is None else last + 1
     whole = touched is None or last is None
@@ -68,7 +87,8 @@ def publish(df: DataFrame, path: str, operation: str, keys: Sequence[str] = (),
     else:
         df.write.mode("overwrite").parquet(_files(path, version))
     row = spark.createDataFrame(
-        [(version, None, operation, written.get["rows"], touched, whole, flow, batch_id)],
+        [(version, None, operation, written.get["rows"], touched, whole, flow, batch_id,
+          list(keys), buckets, restored)],
         LIST_SCHEMA).withColumn("published_at", F.current_timestamp())
     (row.coalesce(1).write.mode("append").parquet(_list(path)))
     return version
@@ -81,23 +101,37 @@ def _stored_buckets(spark: SparkSession, path: str, version: int) -> list[int]:
     return [r[0] for r in stored.select(BUCKET).distinct().collect()]
 
 
+def version_at(spark: SparkSession, path: str, moment: str) -> int | None:
+    """The newest version published at or before an instant, given as text or as a literal's value."""
+    return versions(spark, path).filter(
+        F.col("published_at") <= F.lit(moment).cast("timestamp")).agg(F.max("version")).first()[0]
+
+
 def as_of_version(spark: SparkSession, path: str, version: int | None = None,
-                  buckets: Sequence[int] | None = None) -> DataFrame | None:
-    """The table at a version (default: latest), or only some of its buckets.
+                  buckets: Sequence[int] | None = None, moment: str | None = None) -> DataFrame | None:
+    """The table at a version or an instant (default: latest), or only some of its buckets.
 
-    None when there is nothing to read yet.
+    None when there is nothing to read yet. Of the list, only the newest row and
+    one row per bucket come to the driver.
     """
-    published = [r for r in versions(spark, path).collect()
-                 if version is None or r.version <= version]
-    if not published:
+    if moment is not None:
+        version = version_at(spark, path, moment)
+        if version is None:
+            return None
+    listed = versions(spark, path)
+    if version is not None:
+        listed = listed.filter(F.col("version") <= version)
+    last = listed.orderBy(F.desc("version")).select("version", "buckets").first()
+    if last is None:
         return None
-    published.sort(key=lambda r: r.version)
-    if published[-1].buckets is None:
-        return spark.read.parquet(_files(path, published[-1].version))
-    start = max(i for i, r in enumerate(published) if r.whole)
-    newest = {b: r.version for r in published[start:] for b in r.buckets}
-    folders = [os.path.join(_files(path, v), f"{BUCKET}={b}") for b, v in newest.items()
-               if buckets is None or b in buckets]
+    if last.buckets is None:
+        return spark.read.parquet(_files(path, last.version))
+    start = listed.filter("whole").agg(F.max("version")).first()[0]
+    newest = (listed.filter(F.col("version") >= start)
+              .select("version", F.explode("buckets").alias("bucket"))
+              .groupBy("bucket").agg(F.max("version").alias("version")).collect())
+    folders = [os.path.join(_files(path, r.version), f"{BUCKET}={r.bucket}") for r in newest
+               if buckets is None or r.bucket in buckets]
     if not folders:
         return None
     base = os.path.join(path, "data")
@@ -105,6 +139,22 @@ def as_of_version(spark: SparkSession, path: str, version: int | None = None,
             .drop("version", BUCKET))
 
 
+def live_batches(spark: SparkSession, path: str) -> DataFrame:
+    """(flow, batch_id) of the batches whose changes the newest version shows.
+
+    A restore takes back the batches after the version it restored.
+    """
+    listed = versions(spark, path)
+    spans, high = [], latest_version(spark, path)
+    while high is not None:
+        undo = listed.filter((F.col("version") <= high) & F.col("restored").isNotNull()).orderBy(
+            F.desc("version")).select("version", "restored").first()
+        spans.append((undo.version + 1 if undo else 0, high))
+        high = undo.restored if undo else None
+    inside = reduce(lambda a, b: a | b, [F.col("version").between(a, b) for a, b in spans], F.lit(False))
+    return listed.filter(inside & F.col("batch_id").isNotNull()).select("flow", "batch_id").distinct()
+
+
 def version_diff(spark: SparkSession, path: str, old: int, new: int,
                  key: Sequence[str]) -> DataFrame:
     """Keys that were added, removed or changed between two versions."""
@@ -120,8 +170,19 @@ def version_diff(spark: SparkSession, path: str, old: int, new: int,
     return both.select(*key, change.alias("change")).filter(F.col("change").isNotNull())
 
 
-def restore(spark: SparkSession, path: str, version: int, keys: Sequence[str] = (),
-            buckets: int = 0) -> int:
-    """Publishes an old version again as the newest one."""
-    return publish(as_of_version(spark, path, version), path, f"restore {version}",
-                   keys, buckets)
+def restore(spark: SparkSession, path: str, version: int) -> int:
+    """Publishes an old version again as the newest one, in its own buckets."""
+    old = versions(spark, path).filter(F.col("version") == version).first()
+    if old is None:
+        raise ValueError(f"{path} has no version {version}")
+    rows = as_of_version(spark, path, version)
+    if rows is None:  # a bucketed version without rows
+        rows = as_of_version(spark, path).limit(0)
+    return publish(rows, path, f"restore {version}", old["keys"] or (), old["bucket_count"] or 0,
+                   restored=version)
+
+
+def rebucket(spark: SparkSession, path: str, buckets: int) -> int:
+    """Publishes the newest version in another number of buckets."""
+    keys, _ = bucketing(spark, path)
+    return publish(as_of_version(spark, path), path, f"rebucket {buckets}", keys, buckets)

@@ -13,6 +13,7 @@ from tradewind.operators import changes
 from tradewind.operators.quality import (FAIL, Rule, apply_expectations, observe_expectations)
 from tradewind.plans.silver import ChangeTable
 from tradewind.sources import versions as V
+from tradewind.streaming.progress import run_to_end
 
 Stage = Callable[[DataFrame], DataFrame]
 
@@ -35,48 +36,77 @@ def append_flow(rows: DataFrame, rules: Sequence[Rule], out_dir: str, checkpoint
     """
     if any(r.action == FAIL for r in rules):
         raise ValueError("an append flow cannot take back written rows")
-    stream = (observe_expectations(rows, rules, "rules").writeStream.format("parquet")
+    writer = (observe_expectations(rows, rules, "rules").writeStream.format("parquet")
               .option("path", out_dir).option("checkpointLocation", checkpoint)
-              .outputMode("append").trigger(availableNow=True).start())
-    stream.awaitTermination()
-    counts = {r.name: 0 for r in rules}
-    for progress in stream.recentProgress:
-        seen = progress.observedMetrics.get("rules")
-        for name in counts if seen is not None else ():
-            counts[name] += seen[name] or 0
-    return counts
+              .outputMode("append").trigger(availableNow=True))
+    _, seen = run_to_end(rows.sparkSession, writer, observed="rules")
+    return {r.name: seen.get(r.name, 0) for r in rules}
+
+
+ROWS_PER_BUCKET = 1_000_000
+LEAST_BUCKETS = 16
+
+
+def buckets_for(rows: int) -> int:
+    """Buckets for a table of that many rows: a power of two, so that growth doubles."""
+    return max(LEAST_BUCKETS, 1 << max(0, (rows // ROWS_PER_BUCKET)).bit_length())
 
 
 def change_flow(spark: SparkSession, bronze: str, stage: Stage, spec: ChangeTable, target: str,
-                checkpoint: str, scd_type: int = 1, buckets: int = 16,
-                files_per_batch: int | None = None, max_rows_per_key: int = 2_000_000) -> None:
-    """Applies the new rows of a bronze table to a keyed table.
+                checkpoint: str, scd_type: int = 1, buckets: int | None = None,
+                files_per_batch: int | None = None, max_rows_per_key: int = 2_000_000
+                ) -> dict[str, int]:
+    """Applies the new rows of a bronze table to a keyed table; returns the rule violations of this run.
 
     A type 1 table stores, per key and column, the winning value and when it
     won; a batch is merged into the buckets it touches. A type 2 table keeps the
     staged changes beside it, in the same buckets, and recomputes the versions
     of touched buckets from all their changes. Either way the result depends on
     the set of bronze rows alone, not on how they were split into batches.
+
+    The table's own list holds its number of buckets. ``buckets`` (by default a
+    number sized to the first batch) counts for a new table; another number than
+    the stored one rewrites the table in the new buckets first.
+
+    A violated ``fail`` rule stops the flow before anything is written. What the
+    other rules found is kept with the table, see ``rule_results``.
     """
     flow = os.path.basename(checkpoint.rstrip("/"))
+    totals = {r.name: 0 for r in spec.rules}
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         if V.already_published(spark, target, flow, batch_id):
             return
         staged = stage(batch).persist()
         try:
-            kept, _ = apply_expectations(staged, spec.rules)
-            keyed = kept.withColumn(V.BUCKET, X.key_bucket(spec.keys, buckets))
+            kept, counts = apply_expectations(staged, spec.rules)
+            number = _bucket_count(kept)
+            keyed = kept.withColumn(V.BUCKET, X.key_bucket(spec.keys, number))
             touched = [r[0] for r in keyed.select(V.BUCKET).distinct().collect()]
             if touched:
                 write = _apply_type1 if scd_type == 1 else _apply_type2
-                result = write(keyed, touched, batch_id)
-                V.publish(result, target, f"scd{scd_type}", spec.keys, buckets, touched,
+                result = write(keyed, touched, batch_id, number)
+                V.publish(result, target, f"scd{scd_type}", spec.keys, number, touched,
                           flow, batch_id)
+            if spec.rules:
+                rows = [(flow, batch_id, r.name, r.action, counts[r.name]) for r in spec.rules]
+                (spark.createDataFrame(rows, RULE_RESULTS).coalesce(1).write.mode("overwrite")
+                 .parquet(os.path.join(_rules(target), f"{flow}-{batch_id}")))
+            for name, found in counts.items():
+                totals[name] += found
         finally:
             staged.unpersist()
 
-    def _apply_type1(keyed: DataFrame, touched: list[int], batch_id: int) -> DataFrame:
+    def _bucket_count(kept: DataFrame) -> int:
+        known = V.bucketing(spark, target)
+        if known is None:
+            return buckets or buckets_for(kept.count())
+        if buckets and buckets != known[1]:
+            V.rebucket(spark, target, buckets)
+            return buckets
+        return known[1]
+
+    def _apply_type1(keyed: DataFrame, touched: list[int], batch_id: int, number: int) -> DataFrame:
         arriving = changes.scd1_state(keyed.drop(V.BUCKET), spec.keys, spec.sequence_by,
                                       ignore_null_updates=True)
         stored = V.as_of_version(spark, target, buckets=touched)
@@ -85,18 +115,46 @@ def change_flow(spark: SparkSession, bronze: str, stage: Stage, spec: ChangeTabl
         both = stored.unionByName(arriving, allowMissingColumns=True)
         return changes.merge_states(both, spec.keys)
 
-    def _apply_type2(keyed: DataFrame, touched: list[int], batch_id: int) -> DataFrame:
+    def _apply_type2(keyed: DataFrame, touched: list[int], batch_id: int, number: int) -> DataFrame:
+        """Versions of the batch's keys from all their changes, and the stored ones of the others."""
         history = _history(target)
         (keyed.hint("rebalance", V.BUCKET).write.mode("overwrite").partitionBy(V.BUCKET)
-         .parquet(os.path.join(history, f"batch_id={batch_id}")))
+         .parquet(os.path.join(history, f"bucket_count={number}", f"batch_id={batch_id}")))
+        # changes that a restore took back stay away
+        live = V.live_batches(spark, target).filter(F.col("flow") == flow).select("batch_id")
+        live = live.union(spark.range(batch_id, batch_id + 1)).distinct()
+        # folders of this bucket count are read by bucket, those of an earlier one in full
+        same = F.col("bucket_count") == number
         known = (spark.read.option("mergeSchema", True).parquet(history)
-                 .filter(F.col(V.BUCKET).isin(touched)).drop("batch_id", V.BUCKET))
-        return changes.scd2(known, spec.keys, spec.sequence_by, spec.track_except,
-                            ignore_null_updates=True, max_rows_per_key=max_rows_per_key)
+                 .filter(~same | F.col(V.BUCKET).isin(touched))
+                 .withColumn("batch_id", F.col("batch_id").cast("long"))
+                 .join(live, "batch_id", "left_semi").drop("batch_id", "bucket_count", V.BUCKET))
+        arriving = keyed.select(*spec.keys).distinct()
+        versions = changes.scd2(changes.same_keys(known, arriving, spec.keys, "left_semi"), spec.keys,
+                                spec.sequence_by, spec.track_except, ignore_null_updates=True,
+                                max_rows_per_key=max_rows_per_key)
+        stored = V.as_of_version(spark, target, buckets=touched)
+        if stored is None:
+            return versions
+        others = changes.same_keys(stored, arriving, spec.keys, "left_anti")
+        return others.unionByName(versions, allowMissingColumns=True)
 
     stream = (stream_of(spark, bronze, files_per_batch).writeStream.foreachBatch(apply)
               .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     stream.awaitTermination()
+    return totals
+
+
+RULE_RESULTS = "flow string, batch_id bigint, rule string, action string, violations bigint"
+
+
+def _rules(target: str) -> str:
+    return target.rstrip("/") + "_rules"
+
+
+def rule_results(spark: SparkSession, target: str) -> DataFrame:
+    """(flow, batch_id, rule, action, violations) of every batch a change flow has applied."""
+    return spark.read.schema(RULE_RESULTS).option("recursiveFileLookup", True).parquet(_rules(target))
 
 
 def _history(target: str) -> str:
