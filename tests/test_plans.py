@@ -39,19 +39,20 @@ def test_month_partitions_are_pruned(t, tmp_path):
     assert re.search(r"PartitionFilters: \[isnotnull\(purchase_month", plan(month))
 
 
-def test_lookup_is_broadcast_only_within_its_bound(t):
-    small = plan(joins.lookup_join(t.products, t.translation, "product_category_name"), "simple")
-    assert "BroadcastHashJoin" in small
+def test_lookup_join_obeys_the_threshold_and_starts_no_job(t):
     before = t.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    tracker = t.spark.sparkContext.statusTracker()
+    products, translation = t.products, t.translation  # reading a schema is a job
+    t.spark.sparkContext.setJobGroup("lookup", "planning")
     t.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        large = plan(joins.lookup_join(t.products, t.translation, "product_category_name",
-                                       max_rows=2), "simple")
-        plain = plan(t.products.join(t.translation, "product_category_name"), "simple")
+        text = plan(joins.lookup_join(products, translation, "product_category_name"), "simple")
+        seed = plan(joins.fixed_lookup_join(products, translation, "product_category_name"), "simple")
     finally:
         t.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    assert "BroadcastHashJoin" not in large and "SortMergeJoin" in large
-    assert "SortMergeJoin" in plain
+        started = tracker.getJobIdsForGroup("lookup")
+        t.spark.sparkContext.setJobGroup("", "")
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" in seed and not started
 
 
 def test_latest_per_key_drops_rows_before_the_shuffle(t):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tradewind.checks.registry import query
 from tradewind.functions import columns as X
+from tradewind.functions.domains import STATES_BY_REGION, state_regions
 from tradewind.operators import aggregates, joins, ranking
 from tradewind.plans import explore, star
 from tradewind.sources import tables
@@ -51,10 +52,8 @@ def _(t):
     select case when delivered_at is null then 'open' else 'arrived' end as state,
            count(*) as n from s_orders group by 1""")
 def _(t):
-    arrived = t.orders.filter(F.col("delivered_at").isNotNull()).agg(X.rows().alias("n"))
-    waiting = t.orders.filter(F.col("delivered_at").isNull()).agg(X.rows().alias("n"))
-    return (arrived.select(F.lit("arrived").alias("state"), "n")
-            .unionByName(waiting.select(F.lit("open").alias("state"), "n")))
+    state = F.when(F.col("delivered_at").isNull(), "open").otherwise("arrived")
+    return t.orders.groupBy(state.alias("state")).agg(X.rows().alias("n"))
 
 
 @query("b6_in_list", """
@@ -225,7 +224,17 @@ LOOKUP_SQL = """
     from s_products p left join s_translation t using (product_category_name)"""
 
 
-@query("c5_broadcast_join", LOOKUP_SQL)
+@query("c5_broadcast_join", f"""
+    select customer_id, case {" ".join(
+        f"when customer_state in ({', '.join(repr(s) for s in group)}) then '{region}'"
+        for region, group in STATES_BY_REGION.items())} end as region from s_customers""")
+def _(t):
+    """The hint is for the 27-row state seed; lookups that grow with data are left to AQE."""
+    seed = state_regions(t.spark).withColumnRenamed("state", "customer_state")
+    return joins.fixed_lookup_join(t.customers, seed, "customer_state").select("customer_id", "region")
+
+
+@query("c5_lookup_join", LOOKUP_SQL)
 def _(t):
     return joins.lookup_join(t.products, t.translation, "product_category_name").select(
         "product_id", "product_category_name_english")

@@ -1,4 +1,4 @@
-"""Joins with a checked broadcast side."""
+"""Joins to lookup tables, and rows without a partner."""
 
 from __future__ import annotations
 
@@ -7,23 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LOOKUP_MAX_ROWS = 100_000
-LOOKUP_MAX_CHARS = 32 << 20
+def lookup_join(left: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "left"
+                ) -> DataFrame:
+    """Join to a lookup table. AQE broadcasts its side if the real size is below Spark's threshold."""
+    return left.join(small, on, how)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> bool:
-    """Bounds rows and text size; looks no further than the row bound, so it stays small."""
-    seen = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0)).alias("chars")).first()
-    return seen.n <= max_rows and seen.chars <= LOOKUP_MAX_CHARS
-
-
-def lookup_join(left: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "left",
-                max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
-    """Join to a lookup table: broadcast when it is proven small, else left to Spark."""
-    side = F.broadcast(small) if fits_broadcast(small, max_rows) else small
-    return left.join(side, on, how)
+def fixed_lookup_join(left: DataFrame, seed: DataFrame, on: str | Sequence[str], how: str = "left"
+                      ) -> DataFrame:
+    """The same with the broadcast hint, for seeds whose rows are part of the program."""
+    return left.join(F.broadcast(seed), on, how)
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
