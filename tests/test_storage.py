@@ -88,3 +88,14 @@ def test_clustered_files_hold_narrow_ranges(spark, tmp_path):
 def test_tables_by_name_give_the_same_rows_as_frames(spark):
     tables.publish_views(spark, {"pairs": keyed(spark, [(1, "a"), (2, "b")])}, prefix="t_")
     assert spark.sql("select count(*) n from t_pairs").first().n == spark.table("t_pairs").count() == 2
+
+
+def test_one_hot_value_spreads_over_files(spark, tmp_path):
+    """More files than distinct cluster values or z-values are still filled."""
+    df = spark.range(4000).selectExpr("id", "0 as a", "1 as b", "uuid() as pad")
+    layout.write_clustered(df, f"{tmp_path}/hot", ["a"], files=6)
+    held = spark.read.parquet(f"{tmp_path}/hot").selectExpr("input_file_name() f").groupBy("f").count()
+    assert held.count() >= 5 and held.agg({"count": "max"}).first()[0] < 2000
+    report = layout.compact(spark, f"{tmp_path}/hot", f"{tmp_path}/packed", ["a", "b"], target_bytes=20_000).first()
+    assert report["files"] >= 5
+    assert layout.z_bits(1, 2) == 4 and layout.z_bits(100_000, 2) * 2 > 17

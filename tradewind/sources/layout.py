@@ -29,9 +29,13 @@ def write_by_month(df: DataFrame, ts: str, path: str, month: str = "purchase_mon
 
 def write_clustered(df: DataFrame, path: str, keys: Sequence[str],
                     files: int | None = None) -> None:
-    """Files hold narrow ranges of the keys, so their min/max statistics skip well."""
-    ranged = (df.repartitionByRange(files, *keys) if files is not None
-              else df.repartitionByRange(*keys))
+    """Files hold narrow ranges of the keys, so their min/max statistics skip well.
+
+    A hash of the row ends the range key, so that one hot value spreads over many files.
+    """
+    spread = [*keys, F.xxhash64(*df.columns)]
+    ranged = (df.repartitionByRange(files, *spread) if files is not None
+              else df.repartitionByRange(*spread))
     ranged.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
 
 
@@ -42,6 +46,11 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return files.agg(F.sum("length")).first()[0] or 0
 
 
+def z_bits(files: int, columns: int) -> int:
+    """Bits per column that give several z-values for each file."""
+    return max(4, math.ceil(math.log2(8 * files) / columns))
+
+
 def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
     """Interleaved bits of each column's position; text columns take a hash for position."""
     def position(name: str) -> Column:
@@ -66,8 +75,10 @@ def compact(spark: SparkSession, path: str, out_path: str, zorder_by: Sequence[s
     df = spark.read.parquet(path)
     files = max(1, math.ceil(stored_bytes(spark, path) / target_bytes))
     if len(zorder_by) > 1:
-        keyed = df.withColumn("__z", z_value(df, zorder_by))
-        shaped = keyed.repartitionByRange(files, "__z").sortWithinPartitions("__z").drop("__z")
+        keyed = df.withColumn("__z", z_value(df, zorder_by, z_bits(files, len(zorder_by))))
+        # rows of one z-value may still fill several files
+        shaped = (keyed.repartitionByRange(files, "__z", F.xxhash64(*df.columns))
+                  .sortWithinPartitions("__z").drop("__z"))
     elif zorder_by:
         shaped = df.repartitionByRange(files, *zorder_by).sortWithinPartitions(*zorder_by)
     else:
