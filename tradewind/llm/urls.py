@@ -78,7 +78,7 @@ class Cascade:
         answer = F.lit(len(self.levels) % 2 == 1)
         for number in reversed(range(len(self.levels))):
             answer = F.when(contains(self.levels[number], number, key), answer).otherwise(F.lit(number % 2 == 1))
-        return F.coalesce(answer, F.lit(False))
+        return F.when(key.isNull(), F.lit(False)).otherwise(answer)
 
 
 def places(level_number: int, bits: int, hashes: int, key: Column) -> list[Column]:
