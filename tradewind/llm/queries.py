@@ -58,7 +58,42 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@query("op4_quality_rules")
+RULES_SQL = f"""
+with texts as (
+  select row_number() over () as r, doc_id, coalesce(text, '') as body,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as words,
+         list_filter(string_split(coalesce(text, ''), chr(10)),
+                     lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as lines
+  from documents),
+runs as (
+  select r, i, count(*) over (partition by r, array_to_string(words[i:i + 7], ' ')) as times
+  from texts, unnest(range(1, len(words) - 6)) as t(i)),
+covered as (
+  select r, count(distinct i + k) as n from runs, range(0, 8) as t(k) where times > 1 group by r),
+counts as (
+  select doc_id, len(words) as n_words,
+         coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::bigint as word_chars,
+         length(regexp_replace(body, '[^#*$%&|<>]', '', 'g')) as n_symbols, len(lines) as n_lines,
+         len(lines) - len(list_distinct(lines)) as n_dup_lines, coalesce(n, 0) as n_repeat_words,
+         len(list_filter(range(2, len(words) + 1), lambda i: words[i] = words[i - 1])) as doubled,
+         length(regexp_replace(body, '[^A-Za-z]', '', 'g')) as letters,
+         length(regexp_replace(body, '[^A-Z]', '', 'g')) as capitals
+  from texts left join covered using (r)),
+judged as (
+  select *, n_words < 20 as few_words, 100 * n_repeat_words > 30 * n_words as repeated_windows,
+         10 * n_symbols > word_chars as many_symbols, 100 * n_dup_lines > 30 * n_lines as duplicate_lines,
+         word_chars < 2 * n_words as short_words, word_chars > 25 * n_words as long_words,
+         100 * doubled > 40 * n_words as repeated_words,
+         letters >= 20 and 2 * capitals > letters as shouting
+  from counts)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       {" or ".join(rules.BASE.rules)} as base_failed,
+       not ({" or ".join(rules.STANDARD.rules)}) as kept,
+       ({" + ".join(f"{name}::bigint * {bit}" for name, bit in rules.BIT.items())})::bigint as failed
+from judged"""
+
+
+@query("op4_quality_rules", RULES_SQL)
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ledger of every document with the base verdict and the standard policy's."""
     rows = rules.decide(rules.ledger(table(spark, sf_dir, "documents")), rules.STANDARD)
