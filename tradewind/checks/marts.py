@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tradewind.checks.registry import MODEL_SQL, query
 from tradewind.checks.shapes import Retail
 from tradewind.operators import changes
-from tradewind.operators.quality import drop_violations
+from tradewind.operators.quality import apply_expectations, drop_violations
 from tradewind.plans import gold, silver, staging, star
 
 MODEL_SQL.update({
@@ -220,7 +220,7 @@ def _(t):
 
 def _current(table, staged, sequence_by=None):
     spec = silver.change_tables()[table]
-    kept = drop_violations(staged, spec.rules)
+    kept, _ = apply_expectations(staged, spec.rules)  # a violated fail rule stops here
     return changes.scd1(kept, spec.keys, sequence_by or spec.sequence_by,
                         ignore_null_updates=True)
 

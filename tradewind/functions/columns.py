@@ -99,6 +99,7 @@ def sentiment(score: str | Column) -> Column:
 def status_route(status: str | Column) -> Column:
     """Which desk handles an order in the given status."""
     s = col(status)
+    # fixed values: the four desks and the statuses they take
     return (F.when(s == "delivered", "OK")
             .when(s == "canceled", "ALERT")
             .when(s.isin("shipped", "processing"), "INFO")

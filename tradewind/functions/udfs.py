@@ -20,5 +20,9 @@ def sentiment_by_row(score: str) -> Column:
     """One Python call per row: the slow form, which fails on a missing score."""
     @F.udf("string")
     def label(value):
-        return ("negative", "neutral", "positive")[(value >= 3) + (value >= 4)]
+        if value >= 4:
+            return "positive"
+        if value == 3:
+            return "neutral"
+        return "negative"
     return label(F.col(score))
