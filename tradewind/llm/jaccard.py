@@ -9,9 +9,10 @@ sets from above. The bound is used at two resolutions.
   many documents share leads only the documents that hold little else.
 * Coarse groups (``GROUPS`` counts) search: the points that meet under a leading group are packed
   into a tree whose boxes hold the largest count of each group; pairs of boxes, and then of points,
-  are given up once the bound falls below the overlap they need.
+  are given up once the bound falls below the overlap they need. Pairs of long texts, for which so
+  few groups say little, are then bounded by ``FINE_GROUPS`` counts.
 
-Surviving pairs are verified on their whole texts. First each cell's members are compared to one
+Surviving pairs are verified on their whole texts. First each cell's members are compared to a few
 of them alone; after that only pairs that are not yet connected are searched for. All that is an
 estimate (the frequency sketch, the filter over ids) changes the work and never the result.
 """
@@ -37,6 +38,9 @@ GROUPS = 256
 SKETCH_BITS = 22        # counters of the frequency sketch
 SKETCH_PART = 1 << 16   # counters that are added up in one row
 TILE = 2048             # expected members of a cell that one group handles with one other tile
+FINE_GROUPS = 4096
+FINE_FROM = 512         # shingles from which a document has fine counts too
+HUBS = 8                # members that all others are compared to first, in cells over LEAF members
 LEAF = 32               # points or boxes in a box of the tree
 MOST_PAIRS = 1 << 14    # pairs whose bounds are computed at once
 FILTER_BITS = (16, 27)  # size of the filter over candidate ids, as powers of two
@@ -75,6 +79,14 @@ def point_of(found: np.ndarray) -> bytes:
     return low.astype(np.uint8).tobytes() + int((counts - low).sum()).to_bytes(8, "little")
 
 
+def fine_of(found: np.ndarray) -> bytes | None:
+    """Counts by fine group, packed; none for short texts, or if a count is over 255."""
+    if len(found) < FINE_FROM:
+        return None
+    counts = np.bincount((found & np.uint64(FINE_GROUPS - 1)).astype(np.int64), minlength=FINE_GROUPS)
+    return zstandard.compress(counts.astype(np.uint8).tobytes(), 1) if counts.max() <= 255 else None
+
+
 def overlap_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Summed coordinate minima of rows of points (as bytes) with the minimum of what is over 255."""
     low = np.minimum(a[:, :GROUPS], b[:, :GROUPS]).sum(1, dtype=np.int64)
@@ -89,19 +101,20 @@ def _counter(found: np.ndarray) -> np.ndarray:
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each document, and at the end of the task its part of the frequency sketch."""
     sketch, total = np.zeros(1 << SKETCH_BITS, np.uint32), 0
-    names = ["doc_id", "n", "node", "point", "part", "counts"]
+    names = ["doc_id", "n", "node", "point", "fine", "part", "counts"]
     for batch in batches:
-        ns, nodes, points = [], [], []
+        ns, nodes, points, fines = [], [], [], []
         for _, found in _sets(batch):
             ns.append(len(found))
             nodes.append(node_of(found) if len(found) else None)
             points.append(point_of(found) if len(found) else None)
+            fines.append(fine_of(found))
             np.add.at(sketch, _counter(found), np.uint32(1))
             total += len(found)
         none = pa.nulls(len(ns))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(ns, pa.int64()), pa.array(nodes, pa.int64()), pa.array(points, pa.binary()),
-             none.cast(pa.int32()), none.cast(pa.binary())], names=names)
+             pa.array(fines, pa.binary()), none.cast(pa.int32()), none.cast(pa.binary())], names=names)
     if total:
         kind = batch.schema.field(0).type
         parts = sketch.reshape(-1, SKETCH_PART)
@@ -110,7 +123,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
         yield pa.RecordBatch.from_arrays(
             [none.cast(kind), none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.binary()),
-             pa.array(held, pa.int32()), pa.array([pack(parts[i].tobytes()) for i in held], pa.binary())], names=names)
+             none.cast(pa.binary()), pa.array(held, pa.int32()), pa.array([pack(parts[i].tobytes()) for i in held], pa.binary())], names=names)
 
 
 def _add_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,7 +223,10 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(cell, hub, node, n) of the members that have another one of fitting size; sorted by cell, n, node."""
+    """(cell, hub, node, n) of the members that have another one of fitting size; sorted by cell, n, node.
+
+    Rows without a cell only tell further hubs of a large cell.
+    """
     for rows in _runs(batches):
         cell, node, n = (rows.column(i).to_numpy() for i in range(3))
         new = np.ones(len(cell), bool)
@@ -226,8 +242,18 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             head = np.ones(len(cell), bool)
             head[1:] = (cell[1:] != cell[:-1]) | (100 * n[:-1] < PERCENT * n[1:])
             hub = np.minimum.reduceat(node, np.flatnonzero(head))[np.cumsum(head) - 1]
-            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(hub), pa.array(node), pa.array(n.astype(np.int32))],
-                                             names=["cell", "hub", "node", "n"])
+            names = ["cell", "hub", "node", "n"]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cell), pa.array(hub), pa.array(node), pa.array(n.astype(np.int32))], names=names)
+            edges = np.append(np.flatnonzero(head), len(cell))
+            for a, b in zip(edges[:-1], edges[1:]):
+                if b - a > LEAF:
+                    own = node[a:b]
+                    for k in range(1, HUBS):
+                        other = own[np.argmin(mix(own.view(np.uint64) + np.uint64(k)))]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.nulls(b - a, pa.int64()), pa.array(np.full(b - a, other)), pa.array(own),
+                             pa.array(n[a:b].astype(np.int32))], names=names)
 
 
 def tree_join(points: np.ndarray, n: np.ndarray, group: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -320,6 +346,19 @@ def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(ok)) for i in (0, 1)], names=["a", "b"])
 
 
+def _finer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b, n_a, n_b, fine_a, fine_b) that the fine counts allow to link; without counts all may."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        ok = []
+        for n_a, n_b, a, b in zip(*(batch.column(i).to_pylist() for i in range(2, 6))):
+            ok.append(a is None or b is None or int(np.minimum(
+                np.frombuffer(unpack(a), np.uint8), np.frombuffer(unpack(b), np.uint8)).sum(dtype=np.int64))
+                >= needed(n_a, n_b))
+        keep = pa.array(ok, pa.bool_())
+        yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in (0, 1)], names=["a", "b"])
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs (a, b, text_a, text_b) that link, on the whole sets."""
     for batch in batches:
@@ -348,17 +387,19 @@ class Join:
 
     def run(self) -> DataFrame:
         described = self._store(self.docs.mapInArrow(
-            _describe, f"doc_id {self.kind}, n long, node long, point binary, part int, counts binary"), "described")
-        rows = described.where(F.col("part").isNull()).select("doc_id", "n", "node", "point")
+            _describe, f"doc_id {self.kind}, n long, node long, point binary, fine binary, part int, counts binary"), "described")
+        rows = described.where(F.col("part").isNull()).select("doc_id", "n", "node", "point", "fine")
         # copies are one node, named by its smallest id; ids may be null only where all of a class are
         nodes = self._store(rows.where(F.col("node").isNotNull()).groupBy("node").agg(
-            F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("point").alias("point"))
+            F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("point").alias("point"),
+            F.first("fine").alias("fine"))
             .where(F.col("id").isNotNull()), "nodes")
-        cells = self._members(self._levels(described))
-        star = cells.where("node <> hub").select(F.col("hub").alias("x"), F.col("node").alias("y")).distinct()
-        first = self._store(self._linked(self._close(star, nodes), "star"), "links-1")
+        members = self._members(self._levels(described))
+        cells = members.where("cell is not null").select("cell", "node", "n")
+        star = members.where("node <> hub").select(F.col("hub").alias("x"), F.col("node").alias("y")).distinct()
+        first = self._store(self._linked(self._close(star, nodes), nodes, "star"), "links-1")
         known = self._store(components(first), "components-1")
-        second = self._store(self._linked(self._candidates(cells, nodes, known), "tree"), "links-2")
+        second = self._store(self._linked(self._candidates(cells, nodes, known), nodes, "tree"), "links-2")
         reach = components(first.unionByName(second))
         ids = (nodes.select("node", "id").join(reach.withColumnRenamed("component", "reached"), "id", "left")
                .select("node", F.coalesce("reached", "id").alias("reached")))
@@ -407,9 +448,15 @@ class Join:
                 .repartition("cell").sortWithinPartitions("cell", "n")
                 .mapInArrow(_search, f"a {self.kind}, b {self.kind}").distinct())
 
-    def _linked(self, pairs: DataFrame, name: str) -> DataFrame:
+    def _linked(self, pairs: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
         """The pairs that link. Only texts of documents in some pair are moved."""
-        pairs = self._store(pairs.where("a <> b"), f"pairs-{name}")
+        fine = nodes.where(F.col("fine").isNotNull())
+        side = lambda c: fine.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"),
+                                     F.col("fine").alias(f"fine_{c}"))
+        pairs = (pairs.where("a <> b").join(side("a"), "a", "left").join(side("b"), "b", "left")
+                 .select("a", "b", "n_a", "n_b", "fine_a", "fine_b")
+                 .mapInArrow(_finer, f"a {self.kind}, b {self.kind}"))
+        pairs = self._store(pairs.distinct(), f"pairs-{name}")
         ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         texts = self._store(self._texts(ids), f"texts-{name}")
         return (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
