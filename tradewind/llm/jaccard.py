@@ -40,6 +40,7 @@ SKETCH_PART = 1 << 16   # counters that are added up in one row
 TILE = 2048             # expected members of a cell that one group handles with one other tile
 FINE_GROUPS = 4096
 FINE_FROM = 512         # shingles from which a document has fine counts too
+FIRSTS = 4              # smallest cells of a member that are known wherever it is searched for
 HUBS = 8                # members that all others are compared to first, in cells over LEAF members
 LEAF = 32               # points or boxes in a box of the tree
 MOST_PAIRS = 1 << 14    # pairs whose bounds are computed at once
@@ -308,9 +309,20 @@ def _all_pairs(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.nd
     return earlier, later
 
 
+def _met_before(firsts: np.ndarray, i: np.ndarray, j: np.ndarray, cell: np.ndarray) -> np.ndarray:
+    """Whether both of a pair are known to meet under a smaller cell too, where the pair is found anyway."""
+    a, b = firsts[i][:, :, None], firsts[j][:, None, :]
+    return ((a == b) & (a < cell[:, None, None])).any((1, 2))
+
+
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b) ids of candidate pairs; rows (cell, n, id, group, point) sorted by cell and n."""
+    """(a, b) ids of candidate pairs; rows (cell, n, id, group, point, firsts) sorted by cell and n."""
     for rows in _runs(batches):
+        lists = rows.column(5).combine_chunks()
+        lengths = np.diff(lists.offsets.to_numpy())
+        firsts = np.full((len(lists), FIRSTS), np.iinfo(np.int64).max)
+        at = np.repeat(np.arange(len(lists)), lengths)
+        firsts[at, np.arange(len(at)) - np.repeat(np.cumsum(lengths) - lengths, lengths)] = lists.flatten().to_numpy()
         cell, n, ids, group = (rows.column(i).to_numpy() for i in range(4))
         raw = rows.column(4).combine_chunks()
         points = np.frombuffer(b"".join(raw.to_pylist()), np.uint8).reshape(len(n), GROUPS + 8)
@@ -320,7 +332,8 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = np.diff(edges)
         for a, b in zip(edges[:-1][size > LEAF], edges[1:][size > LEAF]):
             for i, j in tree_join(points[a:b], n[a:b], group[a:b]):
-                found.update(zip(ids[a + i].tolist(), ids[a + j].tolist()))
+                new = ~_met_before(firsts, a + i, a + j, cell[a + i])
+                found.update(zip(ids[a + i[new]].tolist(), ids[a + j[new]].tolist()))
         small = np.flatnonzero((size > 1) & (size <= LEAF))
         for k in range(0, len(small), 256):
             part = small[k:k + 256]
@@ -330,7 +343,9 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for s in range(0, len(i), MOST_PAIRS):
                 x, y = i[s:s + MOST_PAIRS], j[s:s + MOST_PAIRS]
                 ok = overlap_bound(points[x], points[y]) >= needed(n[x], n[y])
-                found.update(zip(ids[x[ok]].tolist(), ids[y[ok]].tolist()))
+                x, y = x[ok], y[ok]
+                new = ~_met_before(firsts, x, y, cell[x])
+                found.update(zip(ids[x[new]].tolist(), ids[y[new]].tolist()))
         pairs = sorted({(min(p), max(p)) for p in found})
         if pairs:
             yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs]), pa.array([p[1] for p in pairs])],
@@ -443,8 +458,11 @@ class Join:
         tagged = cells.join(nodes.select("node", "group"), "node").select("cell", "node", "group")
         open_ = tagged.groupBy("cell").agg(F.min("group").alias("low"), F.max("group").alias("high")) \
             .where("low <> high").select("cell")
-        return (cells.join(open_, "cell", "left_semi").join(nodes, "node")
-                .select("cell", "n", "id", "group", "point")
+        cells = self._store(cells.join(open_, "cell", "left_semi"), "open")
+        firsts = cells.groupBy("node").agg(  # at most as many cells as a text has leading groups
+            F.slice(F.array_sort(F.collect_set("cell")), 1, FIRSTS).alias("firsts"))
+        return (cells.join(nodes, "node").join(firsts, "node")
+                .select("cell", "n", "id", "group", "point", "firsts")
                 .repartition("cell").sortWithinPartitions("cell", "n")
                 .mapInArrow(_search, f"a {self.kind}, b {self.kind}").distinct())
 
