@@ -20,7 +20,7 @@ RUNTIME_CONF = {
     # split a hot join key even where that costs one more exchange downstream
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # long texts would make a batch of the default row count very large
-    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 
