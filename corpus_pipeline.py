@@ -54,12 +54,17 @@ def bpe_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def _tuned(stage):
+    """The stage with the library's session settings, also where it is called by itself."""
+    return lambda spark, docs, sf_dir: stage(tune(spark), docs, sf_dir)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality_rules", quality_rules),
-    ("ngram_jaccard_join", near_duplicates),
-    ("benchmark_decontamination", benchmark_decontamination),
-    ("secret_scan", secret_scan),
-    ("bpe_encode", bpe_encode),
+    ("quality_rules", _tuned(quality_rules)),
+    ("ngram_jaccard_join", _tuned(near_duplicates)),
+    ("benchmark_decontamination", _tuned(benchmark_decontamination)),
+    ("secret_scan", _tuned(secret_scan)),
+    ("bpe_encode", _tuned(bpe_encode)),
 ]
 
 # Byte-pair merges and the edit distance are not expressible in SQL: see tests/llm/test_pipeline.py.
@@ -68,7 +73,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole pipeline over ``documents``."""
-    tune(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = scratch(spark, "pipeline")
     for number, (name, stage) in enumerate(STAGES, 1):

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 _SEEDED = np.random.Generator(np.random.PCG64(20240229))
