@@ -97,6 +97,20 @@ def test_encoder_is_the_library_and_decoder_too():
         assert "".join(decoder.feed([i]) for i in ids) + decoder.finish() == library.decode(ids, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("window", [None, 1, 2, 3, 7])
+def test_contractions_at_window_borders(monkeypatch, window):
+    """Every contraction, slid over a border of the windows one character at a time, and small windows."""
+    library, encoder = Tokenizer.from_file(BYTE), bpe.encoder_of(BYTE)
+    if window:
+        monkeypatch.setattr(bpe, "WINDOW", window)
+    words = ["they're", "we've", "we'll", "it's", "don't", "I'm", "he'd", "x 're", "x''ve", "a  'll"]
+    texts = [("ab " * bpe.WINDOW)[:bpe.WINDOW - back] + word + " so" for word in words for back in range(len(word) + 2)
+             if back <= bpe.WINDOW]
+    for text in texts + (mixed(6, 400) if window else []):
+        want = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want, text[-40:]
+
+
 def test_lookahead_settles_tokens():
     """With any merge list, tokens that end further from the end than the bound are the same for every continuation."""
     rng = random.Random(5)

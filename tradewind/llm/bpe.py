@@ -3,8 +3,8 @@
 A merge list fixes how far what follows a text can change its tokens: ``lookahead`` computes the
 bound in bytes. The transducer holds the bytes of one pre-token that are not settled yet, and emits
 a token once that many bytes follow it, so that its memory depends neither on the text nor on the
-length of a pre-token. Pre-tokens are found in windows of fixed size, of which the last piece waits
-for the next window. The results of short pre-tokens are kept in a bounded cache.
+length of a pre-token. Pre-tokens are found in windows of fixed size, of which the last piece, and
+pieces that begin less than a contraction before the window's end, wait for the next window. The results of short pre-tokens are kept in a bounded cache.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 1 << 16        # characters of a text that are cut into pre-tokens at once
+AHEAD = 3               # characters that decide how a pre-token begins: the longest contraction
 STEP = 1 << 12          # bytes of a long pre-token that are settled at once
 CACHED = 1 << 19        # pre-tokens in the cache
 CACHED_BYTES = 64       # longest pre-token in the cache
@@ -197,12 +198,15 @@ class Encoder:
             window = text[at:at + WINDOW]
             found = self.cut.findall(window)
             if at + WINDOW < size:
-                if len(found) == 1:  # a pre-token longer than the window
+                held = len(found.pop())  # what follows may lengthen the last piece
+                while found and held + len(found[-1]) < AHEAD:  # or join a "'" and a letter
+                    held += len(found.pop())
+                if not found:  # a pre-token longer than the window
                     end = self.cut.match(text, at).end()
                     yield self._piece(text[at:end])
                     at = end
                     continue
-                at += len(window) - len(found.pop())  # what follows may lengthen the last piece
+                at += len(window) - held
             else:
                 at = size
             yield b"".join(map(self.cache.__getitem__, found))
