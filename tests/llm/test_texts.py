@@ -189,6 +189,17 @@ def test_op3_against_brute_force(spark, block_words, monkeypatch):
     assert left == set(range(60)) - {w[0] for w in want}
 
 
+def test_op3_short_items(spark):
+    """Items of one to seven words are searched for too, from five words on with a word that differs."""
+    docs = ["What is the boiling point of water, they ask.", "The boiling point of sulphur is higher", "Boiling Point!", "none"]
+    items = ["boiling point", "what is the boiling point of water", "None", "boiling of", "the boiling point of water", "?", None]
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    given = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    assert rows(decontaminate.find(frame, given), "doc_id", "item_id", "distance", "n_item_words") == [
+        (0, 0, 0, 2), (0, 1, 0, 7), (0, 4, 0, 5), (1, 0, 0, 2), (1, 4, 1, 5), (2, 0, 0, 2), (3, 2, 0, 1)]
+    assert rows(decontaminate.clean(frame, given.where("item_id in (1, 2, 3, 5, 6)")), "doc_id") == [(1,), (2,)]
+
+
 def test_op3_odd_rows(spark, odd, none):
     items = spark.createDataFrame([(1, odd.where("doc_id = 6").first()["text"]), (2, None), (3, ""), (None, "a b c")],
                                   "item_id long, text string")

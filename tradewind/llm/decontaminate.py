@@ -3,7 +3,10 @@
 A test item of m words may differ from a passage in k = floor(``RATE`` * m) words (inserted, left
 out or replaced). Cut into k + 1 pieces, at least one piece then stands in the passage unchanged.
 Exact piece hits come from hashes of word windows; around each hit the edit distance is verified
-with Myers' bit-parallel algorithm, one integer per item, one step per word.
+with Myers' bit-parallel algorithm, one integer per item, one step per word. Items of under five words
+have no budget and are found verbatim only. No item is too short to be searched for: one of a single
+common word matches, and ``clean`` removes, every document that holds it, so who wants such items
+ignored leaves them out of the items given.
 
 Items are a query set: they are taken in blocks of ``BLOCK_WORDS`` words at most, and each block is
 sent to all tasks and run against every document. The corpus is not shuffled.
@@ -25,7 +28,7 @@ from tradewind.llm.words import NO_LETTER, Block, Words, blocks, split_words, wi
 from tradewind.session import scratch
 
 RATE = 0.2
-LEAST_WORDS = 8         # shorter items are too common to prove anything and are never reported
+LEAST_WORDS = 1         # an item without words stands in no passage
 BLOCK_WORDS = 1 << 20
 FILTER_BITS = 22
 
@@ -168,7 +171,7 @@ def _merged(starts: list[int], slack: int, n: int) -> Iterator[tuple[int, int]]:
 
 
 def item_blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[Items]:
-    """The query set in blocks. Items with fewer than ``LEAST_WORDS`` words are left out."""
+    """The query set in blocks. Items without words (null, empty, signs alone) are left out."""
     ids, words, total = [], [], 0
     for row in items.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).orderBy("i", "t").toLocalIterator():
         found = words_of([row["t"]])[0]
