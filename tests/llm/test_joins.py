@@ -4,6 +4,7 @@ import collections
 import random
 import re
 
+import duckdb
 import numpy as np
 import pytest
 from conftest import ODD, PROSE, SF, SMALL, rows
@@ -168,6 +169,32 @@ def test_op9_and_op10_match_their_sql(spark):
         assert rows(got, *names) == sorted(cur.fetchall(), key=repr)
 
 
+def test_op9_takes_whole_private_keys(spark, tmp_path):
+    """Header, key and END line are one span, in Java, Python and DuckDB alike, and nothing of the key stays."""
+    body = "\n".join("MIIEvQ" + c * 58 for c in "aB3+/") + "\nnrQ=="
+    head, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    fields = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF\n\n"
+    whole = f"{head}\n{body}\n{end}"
+    texts = {
+        f"é {whole} after": "é [pem] after", f"a\n{head}\n{fields}{body}\n{end}\nb": "a\n[pem]\nb",
+        whole.replace("\n", "\r\n") + "\r\nb": "[pem]\r\nb", whole.replace("\n", "\n\t  "): "[pem]",
+        '{"k": "' + whole.replace("\n", "\\n") + '\\n", "x": 1}': '{"k": "[pem]\\n", "x": 1}',
+        '"' + f"{head}\n{fields}{body}\n{end}".replace("\n", "\\r\\n") + '"': '"[pem]"',
+        f"cut off: {head}\n{body}": "cut off: [pem]", f"{head}{body}{end}{whole}": "[pem][pem]", head: "[pem]",
+        f"{head}\nMII": "[pem]", f"{whole}\n{end}": f"[pem]\n{end}", f"{head} " + "Q" * 200000 + f" {end}.": "[pem].",
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = secrets.find(docs)
+    for r in found.collect():
+        assert ",".join(f"{s['kind']}:{s['start']}:{s['end']}" for s in r["secret_spans"]) == brute_secrets(r["text"])
+    assert [r["text"] for r in secrets.redact(found).orderBy("doc_id").collect()] == list(texts.values())
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = con.execute(f"select doc_id, spans from ({queries.ORACLE['op9_secret_scan']}) order by doc_id").fetchall()
+    assert want == sorted(rows(queries.QUERIES["op9_secret_scan"](spark, str(tmp_path)), "doc_id", "spans"))
+
+
 def test_op9_odd_rows(odd, none):
     found = secrets.find(odd)
     assert found.count() == len(ODD) and set(found.columns) == set(odd.columns)

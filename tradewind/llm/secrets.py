@@ -61,12 +61,18 @@ BASE = (
     Rule("access", "AKIA[A-Z0-9]+", least=16),
     Rule("hex", "[0-9a-f]+", least=32),
 )
+# A private key from its header on, with the fields of an encrypted one, also with line
+# ends written as \n. Without an END line, all base64 and white space that follow count as the key.
+_BREAK = r"[\\nr\x20\t\r\n]*"
+PEM = (r"-----BEGIN [A-Z ]*PRIVATE KEY-----" + _BREAK
+       + r"(?:Proc-Type:\x20*4,ENCRYPTED" + _BREAK + r"(?:DEK-Info:\x20*[A-Z0-9-]+(?:,[0-9A-Fa-f]+)?)?)?"
+       + r"[A-Za-z0-9+/=\\\x20\t\r\n]*(?:-----END [A-Z ]*PRIVATE KEY-----)?")
 # Public formats of other credentials.
 MORE = (
     Rule("github", "gh[pousr]_[A-Za-z0-9]+", least=40),
     Rule("slack", "xox[abprs]-[A-Za-z0-9-]+", least=15),
     Rule("stripe", "[rs]k_live_[A-Za-z0-9]+", least=24),
-    Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("pem", PEM),
 )
 RULES = BASE + MORE
 
