@@ -3,7 +3,7 @@
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each result to the
 shared folder and reads it again as the next stage's documents, so that a lost executor costs no
 more than the stage it worked on. Stages 1 to 4 return the columns of their input. Near duplicates
-are told by their ids, so rows without an id stay, and so do repeated rows of one id.
+are told by their texts (a 64-bit hash), so rows with null or repeated ids are rows like others.
 """
 
 from __future__ import annotations
@@ -24,10 +24,26 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component, the one with the smallest id."""
-    found = jaccard.near_duplicates(docs).where(F.col("component_id") < F.col("doc_id"))
-    copies = found.select(F.col("doc_id").alias("__copy")).distinct()
-    return docs.join(copies, F.col("doc_id") == F.col("__copy"), "left_anti")
+    """One row of each near-duplicate component, the first by id (no id last) and text hash.
+
+    Texts without words are no copies of each other and stay.
+    """
+    rows = docs.withColumn("__hash", F.xxhash64("text"))
+    reach = (jaccard.near_duplicates(rows, "__hash").where(F.col("n_shingles") > 0)
+             .groupBy(F.col("doc_id").alias("__hash")).agg(F.min("component_id").alias("group")))
+    texts = rows.groupBy("__hash").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))).alias("first"),
+        F.count(F.lit(1)).alias("times")).join(reach, "__hash")
+    best = texts.groupBy("group").agg(F.min(F.struct("first", "__hash")).alias("best"))
+    copy = F.col("__hash") != F.col("best.__hash")
+    told = texts.join(best, "group").where(copy | (F.col("times") > 1)).select(
+        F.col("__hash").alias("__told"), copy.alias("__copy"), F.col("best.first.id").alias("__best"))
+    folder = scratch(spark, "copies")  # read twice, and joined by its real size
+    told.write.parquet(folder)
+    told, same = spark.read.schema(told.schema).parquet(folder), F.col("__hash") == F.col("__told")
+    again = rows.join(told.where(~F.col("__copy")), same).where(F.col("doc_id").eqNullSafe(F.col("__best")))
+    return (rows.join(told, same, "left_anti").select(*docs.columns)
+            .unionByName(again.dropDuplicates(["__hash"]).select(*docs.columns)))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

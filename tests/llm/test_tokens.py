@@ -204,6 +204,23 @@ def test_pipeline_against_plain_python(spark):
     assert sorted((r["doc_id"], r["ids"]) for r in frame.collect()) == want and len(want) > 50
 
 
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    """Also where an id has several texts, none or several rows: one row a group stays, and all unique texts do."""
+    rng = random.Random(8)
+    one, two, three, unique = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(4))
+    docs = [(1, one), (2, one + " more"), (2, unique), (None, two), (None, two), (None, two + " more"), (3, three),
+            (3, three), (4, three), (None, one), (None, "  "), (None, "  "), (5, ""), (5, ""), (6, None)]
+    frame = spark.createDataFrame([(text, i, "x") for i, text in docs], "text string, doc_id long, lang string")
+    got = corpus_pipeline.near_duplicates(spark, frame, SMALL)
+    assert got.columns == frame.columns
+    found = [(r["doc_id"], r["text"]) for r in got.collect()]
+    rest = [f for f in found if f[1] and f[1].startswith(two)]
+    assert len(rest) == 1 and rest[0][0] is None
+    found.remove(rest[0])
+    assert sorted(found, key=repr) == sorted([(1, one), (2, unique), (3, three), (None, "  "), (None, "  "), (5, ""), (5, ""),
+                                              (6, None)], key=repr)
+
+
 def test_pipeline_stages_take_odd_rows(spark, odd, none):
     for given in (odd.drop("secret_spans"), none.drop("secret_spans")):
         docs = given
