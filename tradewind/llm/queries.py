@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import bpe, compression, decontaminate, jaccard, licences, records, rules, secrets, toxicity, urls
+from tradewind.llm import (bpe, compression, decontaminate, dialogues, jaccard, licences, records, rules, secrets,
+                           toxicity, urls)
 from tradewind.session import scratch, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -206,3 +207,103 @@ from best""")
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page judged by the rules, and by the blocked hosts where none fits."""
     return urls.judge(table(spark, sf_dir, "pages"), list(urls.ALLOW), list(urls.BLOCK))
+
+
+def held(column: str) -> Column:
+    """As a string; null is one space."""
+    return F.coalesce(F.col(column).cast("string"), F.lit(" "))
+
+
+def damage_kind() -> Column:
+    return F.crc32(F.concat(held("conv_id"), F.lit(":"), held("turn"))) % 20
+
+
+def damage(rows: DataFrame) -> DataFrame:
+    """Conversations with faults put in by a checksum of conversation and turn."""
+    text = (F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate(held("text"), ".!?", ""))
+            .otherwise(held("text")))
+    times = F.when(F.col("kind") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return (rows.withColumn("kind", damage_kind()).where("kind != 0")
+            .select("conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(held("role")).alias("role"),
+                    text.alias("text"), F.explode(times).alias("copy")).drop("copy"))
+
+
+DIALOGUE_SQL = """
+with recursive
+bytes as (
+  select list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)), lambda x, y:
+           case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)) as crcs),
+keyed as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+         xor(list_reduce(list_concat([4294967295], list_transform(string_split(
+               coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), lambda c: ascii(c)::bigint)),
+             lambda x, y: xor(x >> 8, crcs[(xor(x, y) & 255) + 1])), 4294967295) % 20 as kind
+  from conversations, bytes),
+damaged as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+         case kind when 1 then '' when 2 then translate(text, '.!?', '') else text end as text,
+         unnest(range(case kind when 0 then 0 when 3 then 2 else 1 end)) as copy
+  from keyed),
+numbered as (
+  select conv_id, turn, role, text, strpos('sua', left(role, 1)) as initial,
+         row_number() over (partition by conv_id order by turn nulls first, role, text) as i,
+         not regexp_matches(text, '[^\x20\x09-\x0D]') as blank,
+         regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) as ending
+  from damaged),
+faulty as (
+  select *, not blank and row_number() over (partition by conv_id, role, text order by i) > 1 as duplicate,
+         lag(initial) over (partition by conv_id order by i) as prior
+  from numbered),
+marked as (
+  select *, not blank and not duplicate and ending not in ('.', '!', '?') as truncated from faulty),
+inserts(q, q2, letters, cost) as (values (0, 0, '', 0), (0, 2, 'I', 2), (0, 3, 'II', 4), (1, 1, '', 0), (1, 2, 'I', 2),
+  (1, 3, 'II', 4), (2, 2, '', 0), (2, 3, 'I', 2), (3, 3, '', 0), (3, 2, 'I', 2)),
+moves(q, initial, letter, q2, cost) as (
+  select q::integer, null::integer, 'D', q::integer, 3 from range(4) as t(q) union all
+  values (0, null, 'R', 2, 2), (1, null, 'R', 2, 2), (2, null, 'R', 3, 2), (3, null, 'R', 2, 2),
+    (0, 1, 'K', 1, 0), (0, 2, 'K', 2, 0), (1, 2, 'K', 2, 0), (3, 2, 'K', 2, 0), (2, 3, 'K', 3, 0)),
+best as (
+  select distinct conv_id, 0::bigint as i, 0::integer as q, '000000' as path from marked
+  union all
+  select b.conv_id, b.i + 1, m.q2, min(lpad((left(path, 6)::int + x.cost + m.cost
+           + case when truncated and m.letter != 'D' then 1 else 0 end)::varchar, 6, '0') || substr(path, 7) || x.letters || m.letter)
+  from best b join marked r on r.conv_id is not distinct from b.conv_id and r.i = b.i + 1
+  join inserts x on x.q = b.q
+  join moves m on m.q = x.q2 and (m.letter = 'D' or not (blank or duplicate) and (m.letter = 'R' or m.initial = r.initial))
+  group by all),
+sizes as (
+  select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+         count(*) filter (blank) as blank, count(*) filter (duplicate) as duplicate, count(*) filter (truncated) as truncated,
+         count(*) filter (i > 1 and not (prior = 1 and initial = 2 or prior = 2 and initial = 3 or prior = 3 and initial = 2)) as illegal,
+         list(role order by i) as roles, list(text order by i) as texts
+  from marked group by conv_id),
+ended as (
+  select s.conv_id, min(lpad((left(path, 6)::int + x.cost)::varchar, 6, '0') || substr(path, 7) || x.letters) as path
+  from sizes s join best b on b.conv_id is not distinct from s.conv_id and b.i = s.n
+  join inserts x on x.q = b.q and x.q2 in (0, 3) group by s.conv_id),
+letters as (
+  select s.*, left(path, 6)::bigint as cost, substr(path, 7) as audit,
+         list_filter(list_transform(string_split(substr(path, 7), ''), lambda c, j: {'c': c,
+           'i': length(translate(substr(path, 7, j), 'I', ''))}), lambda e: e.c != 'D') as edits
+  from sizes s join ended e on e.conv_id is not distinct from s.conv_id),
+lines as (
+  select *, array_to_string(list_transform(edits, lambda e, k: case when e.c = 'K' then roles[e.i] else case when
+           (k - case when edits[1].c = 'K' and left(roles[edits[1].i], 1) = 's' then 1 else 0 end) % 2 = 1
+           then 'user' else 'assistant' end end || ':' || case when e.c = 'I' then '' else texts[e.i] end), chr(10)) as said
+  from letters)
+select c.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+       coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(cost, 0) as cost,
+       coalesce(audit, '') as audit, sha256(coalesce(said, '')) as repaired_sha256
+from (select distinct conv_id from conversations) c left join lines l on l.conv_id is not distinct from c.conv_id"""
+
+
+@query("op11_dialogue_repair", DIALOGUE_SQL)
+def op11_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and its digest for every conversation, after damage."""
+    rows = table(spark, sf_dir, "conversations")
+    found = dialogues.summary(dialogues.repair(damage(rows)))
+    zero = F.lit(0).cast("long")
+    lost = rows.groupBy("conv_id").agg(F.max(damage_kind()).alias("most")).where("most = 0")
+    return found.unionByName(lost.select(
+        "conv_id", *[zero.alias(c) for c in ("gaps", *dialogues.COUNTS, "cost")], F.lit("").alias("audit"),
+        F.sha2(F.lit(""), 256).alias("repaired_sha256")))
