@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import (bpe, compression, decontaminate, dialogues, jaccard, licences, records, rules, secrets,
-                           toxicity, urls)
+from tradewind.llm import (bpe, compression, decontaminate, dialogues, fingerprints, jaccard, licences, records, rules,
+                           secrets, toxicity, urls)
 from tradewind.session import scratch, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -307,3 +307,25 @@ def op11_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.unionByName(lost.select(
         "conv_id", *[zero.alias(c) for c in ("gaps", *dialogues.COUNTS, "cost")], F.lit("").alias("audit"),
         F.sha2(F.lit(""), 256).alias("repaired_sha256")))
+
+
+@query("op12_simhash")
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how like they and the next one's are.
+
+    For ids divisible by 50, ``n_near`` is the number of documents in the radius, itself included.
+    """
+    found = fingerprints.compare(table(spark, sf_dir, "documents"))
+    asked = F.coalesce(F.col("doc_id") % 50 == 0, F.lit(False))
+    near = fingerprints.within(found.where(asked), found)
+    rows = found.where(asked).join(near, ["high", "low"]).unionByName(
+        found.where(~asked).withColumn("n_near", F.lit(None).cast("long")))
+    # a row for each copy of a repeated row, in runs
+    run = 1 << 16
+    runs = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / run)))
+    each = F.explode(F.array_repeat(F.lit(True), F.least(F.lit(run), F.col("copies") - F.col("run") * run).cast("int")))
+    return (rows.withColumn("run", runs).withColumn("copy", each).select(
+        "doc_id", "n_chars", "edited_sha256", fingerprints.shown("high", "low").alias("fingerprint"),
+        fingerprints.shown("edited_high", "edited_low").alias("edited_fingerprint"),
+        fingerprints.likeness("high", "low", "edited_high", "edited_low").alias("near_edited"),
+        fingerprints.likeness("high", "low", "next_high", "next_low").alias("near_next"), "n_near"))
