@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import (bpe, compression, decontaminate, dialogues, fingerprints, jaccard, licences, records, rules,
+from tradewind.llm import (bpe, compression, decontaminate, dialogues, divergence, fingerprints, jaccard, licences, records, rules,
                            secrets, toxicity, urls)
 from tradewind.session import scratch, tune
 
@@ -329,3 +329,43 @@ def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprints.shown("edited_high", "edited_low").alias("edited_fingerprint"),
         fingerprints.likeness("high", "low", "edited_high", "edited_low").alias("near_edited"),
         fingerprints.likeness("high", "low", "next_high", "next_low").alias("near_next"), "n_near"))
+
+
+DIVERGENCE_SQL = """
+with docs as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as body from documents),
+words as (
+  select r, lang, source, unnest(regexp_extract_all(body, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term from docs),
+kept as (select lang, term, count(*) as n from words group by all having count(distinct r) >= 3),
+langs as (select lang, count(*)::hugeint as v, sum(n)::hugeint as total from kept group by lang),
+counts as (select lang, source, term, count(*)::hugeint as c from words join kept using (lang, term) group by all),
+totals as (
+  select g.lang, g.source, coalesce(l.v, 0) as v, coalesce(sum(c.c), 0)::hugeint as n
+  from (select distinct lang, source from docs) g left join langs l using (lang)
+  left join counts c on c.lang = g.lang and c.source = g.source group by all),
+shares as (
+  select t.lang, t.source, k.term, coalesce(c.c, 0) as c, 1 + (1000000000 * (coalesce(c.c, 0) + 1)) // (t.n + t.v) as p,
+         1 + (1000000000 * (k.n + 1)::hugeint) // (l.total + l.v) as q
+  from totals t join kept k using (lang) join langs l using (lang)
+  left join counts c on c.lang = t.lang and c.source = t.source and c.term = k.term),
+priced as (
+  select a.lang, a.source, b.source as item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source != b.source group by all),
+found as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0)::bigint as value
+  from totals a join totals b on a.lang = b.lang and a.source != b.source
+  left join priced p on p.lang = a.lang and p.source = a.source and p.item = b.source
+  union all
+  select lang, source, 'term', term, (((p - q) * (p - q)) // q)::bigint from shares where c > 0 and p > q),
+ranked as (
+  select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank from found)
+select * from ranked where part = 'pair' or rank <= 200"""
+
+
+@query("op13_source_divergence", DIVERGENCE_SQL)
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Costs of each source against the others of its language, and each source's dearest terms."""
+    audit = divergence.Audit(table(spark, sf_dir, "documents"))
+    return divergence.ranked(audit.pairs(), "pair").unionByName(
+        divergence.ranked(audit.telling(), "term", divergence.MOST_TERMS))
