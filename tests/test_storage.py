@@ -48,7 +48,7 @@ def test_bucketed_versions_rewrite_touched_buckets_only(spark, tmp_path):
     got = {r.k: r.v for r in V.as_of_version(spark, path).collect()}
     assert got == {k: "new" if b in touched else "old" for k, b in bucket_of.items()}
     assert pairs(V.as_of_version(spark, path, 0)) == pairs(everything)
-    assert V.already_published(spark, path, "flow", 3) and not V.already_published(spark, path, "flow", 4)
+    assert V.applied_up_to(V.newest(spark, path), "flow") == 3 and V.applied_up_to(None, "flow") == -1
     V.publish(keyed(spark, [(0, "only")]), path, "shrink", ["k"], 8)
     assert pairs(V.as_of_version(spark, path)) == {(0, "only")}
 

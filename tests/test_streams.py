@@ -182,8 +182,13 @@ def test_append_flow_drops_and_counts(spark, tmp_path):
     counts = flows.append_flow(rows, rules, f"{tmp_path}/o", f"{tmp_path}/ck")
     assert counts == {"key": 1, "score": 1}
     assert sorted(r.k for r in spark.read.parquet(f"{tmp_path}/o").collect()) == ["1", "2"]
-    with pytest.raises(ValueError):
-        flows.append_flow(rows, [Rule("k", F.col("k").isNotNull(), FAIL)], "o", "c")
+    fail = [Rule("k", F.col("k").isNotNull(), FAIL)]
+    with pytest.raises(Exception, match="violated"):
+        flows.append_flow(rows, fail, f"{tmp_path}/o2", f"{tmp_path}/ck2")
+    assert not (tmp_path / "o2").exists()  # the batch is tried again, and stays undone, until the rows are mended
+    drop = [Rule("k", F.col("k").isNotNull(), DROP)]
+    assert flows.append_flow(rows, drop, f"{tmp_path}/o2", f"{tmp_path}/ck2", rejects_dir=f"{tmp_path}/r2")["k"] == 1
+    assert spark.read.parquet(f"{tmp_path}/r2").first()["_rejected_by"] == ["k"]
 
 
 def test_stream_joins_a_plain_lookup(spark, tmp_path):

@@ -4,19 +4,23 @@ Each query writes its tables to new folders below the shared scratch folder.
 """
 
 import os
+import re
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradewind.checks.changes import INCREMENT_SQL
 from tradewind.checks.marts import SLV_ORDERS_SQL, naive
-from tradewind.checks.registry import query
+from tradewind.checks.registry import ORACLE, query
 from tradewind.functions import columns as X
 from tradewind.operators import changes as C
-from tradewind.operators.quality import DROP, WARN, Rule
+from tradewind.operators.quality import DROP, FAIL, WARN, Rule
 from tradewind.plans import build, gold, silver
 from tradewind.session import scratch
-from tradewind.sources import landing, layout, tables
+from tradewind.sources import growing, landing, layout, tables
 from tradewind.sources import versions as V
 from tradewind.streaming import flows, ingest
 
@@ -59,6 +63,13 @@ def events(t) -> DataFrame:
 
 # --- A sources -----------------------------------------------------------------
 
+def landed_tables(t) -> dict[str, DataFrame]:
+    return {"orders": t.landed_orders, "order_items": t.landed_order_items,
+            "order_payments": t.landed_order_payments, "order_reviews": t.landed_order_reviews,
+            "customers": t.landed_customers, "products": t.landed_products,
+            "sellers": t.landed_sellers, "translation": t.translation}
+
+
 def ingest_given(t, name: str) -> tuple[DataFrame, int]:
     """Streams one of the given parquet tables into a bronze table."""
     root = scratch(t.spark, "ingest")
@@ -136,6 +147,22 @@ def _(t):
     return landing.rescue_cast(texts, schema).drop("review_answer_timestamp")
 
 
+@query("a7_mixed_parquet_types", """
+    select event_id, case when event_type <> 'view' or event_id % 3 <> 0 then user_id end as user_id,
+           case when event_type = 'view' and event_id % 3 = 0 then '{"user_id":"user ' || user_id || '"}' end as _rescued_data
+    from events""")
+def _(t):
+    """Views deliver the user as text, a third of them unreadable, other events as a number."""
+    feed = Feed(t.spark, mixed_types=True)
+    rows = events(t).select("event_id", "user_id", "event_type")
+    feed.land(rows.filter("event_type <> 'view'").drop("event_type"))
+    feed.ingest()
+    text = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("user "), "user_id")).otherwise(F.col("user_id").cast("string"))
+    feed.land(rows.filter("event_type = 'view'").withColumn("user_id", text).drop("event_type"))
+    feed.ingest()
+    return feed.rows().select("event_id", "user_id", "_rescued_data")
+
+
 @query("a8_partition_discovery", """
     select cast(year(ts) as int) as year, cast(month(ts) as int) as month,
            cast(day(ts) as int) as day, count(*) as n from events group by all""")
@@ -179,17 +206,31 @@ def _(t):
 
 
 @query("a11_prepare_landing", """
-    select 'customers' as "table", count(*) as rows from s_customers
+    select 'orders' as "table", count(*) as rows from s_orders
+    union all select 'order_items', count(*) from s_order_items
+    union all select 'order_payments', count(*) from s_order_payments
+    union all select 'order_reviews', count(*) from s_order_reviews
+    union all select 'customers', count(*) from s_customers
+    union all select 'products', count(*) from s_products
     union all select 'sellers', count(*) from s_sellers
-    union all select 'products', count(*) from s_products""")
+    union all select 'translation', count(*) from s_translation
+    union all select 'missing', 1""")
 def _(t):
+    """All eight tables, review texts over two lines; a delivery with a file missing writes nothing."""
     root = scratch(t.spark, "landing")
-    frames = {"customers": t.landed_customers, "sellers": t.landed_sellers,
-              "products": t.landed_products}
+    frames = landed_tables(t)
+    frames["order_reviews"] = frames["order_reviews"].withColumn(
+        "review_comment_message", F.concat_ws("\n", "review_comment_title", "review_comment_message"))
     for name, df in frames.items():
         df.write.options(header=True, escape='"').csv(f"{root}/{name}_csv")
-    return landing.prepare_landing(t.spark, {n: f"{root}/{n}_csv" for n in frames},
-                                   f"{root}/landed")
+    files = {n: f"{root}/{n}_csv" for n in frames}
+    try:
+        landing.prepare_landing(t.spark, {**files, "geolocation": f"{root}/geolocation_csv"}, f"{root}/early")
+        missing = 0
+    except landing.MissingFiles as error:
+        missing = len(str(error).split(", "))
+    landed = landing.prepare_landing(t.spark, files, f"{root}/landed")
+    return landed.unionByName(t.spark.createDataFrame([("missing", missing)], '`table` string, rows bigint'))
 
 
 @query("a12_typed_scan", """
@@ -260,13 +301,23 @@ def _(t):
 @query("a19_layers", """
     select 'fct_orders' as name, count(*) as n from s_orders
     union all select 'dim_customers', count(distinct customer_id) from s_orders
-    union all select 'dim_products', count(*) from s_products""")
-def _(t):
-    """The star is built in layers; two line numbers repeat here, so its key tests are off."""
-    built = build.build_star(t.spark, t.tables(), scratch(t.spark, "layers"), test=False)
+    union all select 'dim_products', count(*) from s_products
+    union all select 'revenue_by_category', count(distinct (category, date_trunc('month', order_purchase_ts)))
+    from s_order_items join s_orders using (order_id) join m_labels using (product_id)
+    where order_status = 'delivered'""")
+def _(t):
+    """The star is built in layers, each behind its tests; line numbers that repeat in an order are counted on."""
+    ordered = Window.partitionBy("order_id")
+    sources = t.tables()
+    sources["order_items"] = sources["order_items"].withColumn("order_item_id", F.row_number().over(
+        ordered.orderBy("order_item_id", "product_id", "seller_id", "price")))
+    sources["order_payments"] = sources["order_payments"].withColumn("payment_sequential", F.row_number().over(
+        ordered.orderBy("payment_sequential", "payment_type", "payment_value")))
+    sources["order_reviews"] = sources["order_reviews"].join(t.orders_placed.select("order_id"), "order_id", "left_semi")
+    built = build.build_star(t.spark, sources, scratch(t.spark, "layers"))
     counts = [built[n].agg(X.rows().alias("n")).select(F.lit(n).alias("name"), "n")
-              for n in ("fct_orders", "dim_customers", "dim_products")]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+              for n in ("fct_orders", "dim_customers", "dim_products", "revenue_by_category")]
+    return reduce(DataFrame.unionByName, counts)
 
 
 @query("a20_partitioned_by_month", """
@@ -419,10 +470,7 @@ def _(t):
     union all select 'sellers', count(*) from s_sellers
     union all select 'translation', count(*) from s_translation""")
 def _(t):
-    landed = {"orders": t.landed_orders, "order_items": t.landed_order_items,
-              "order_payments": t.landed_order_payments, "order_reviews": t.landed_order_reviews,
-              "customers": t.landed_customers, "products": t.landed_products,
-              "sellers": t.landed_sellers, "translation": t.translation}
+    landed = landed_tables(t)
     counts = []
     for name, df in landed.items():
         feed = Feed(t.spark)
@@ -475,6 +523,75 @@ def _(t):
     return dated_orders(t, 2)
 
 
+# --- J2, J3 as stored tables ------------------------------------------------------------
+
+def grown_fact(t) -> str:
+    """Orders before 2000, then a run that is given all of them and takes the newer ones."""
+    path = scratch(t.spark, "grown")
+    orders = t.orders_placed.select("order_id", "customer_id", "order_purchase_ts")
+    loaded = orders.filter(F.col("order_purchase_ts") < F.lit("2000-01-01").cast("timestamp_ntz"))
+    for rows, origin in ((loaded, "loaded"), (orders, "new")):
+        growing.grow_by_month(t.spark, rows.withColumn("origin", F.lit(origin)), path, ["order_id"], "order_purchase_ts")
+    return path
+
+
+@query("j2_stored_fact", INCREMENT_SQL)
+def _(t):
+    return V.as_of_version(t.spark, grown_fact(t))
+
+
+@query("j2_months_written", """
+    with newest as (select max(order_purchase_ts) as latest from s_orders where order_purchase_ts < timestamp '2000-01-01')
+    select 12 * year(order_purchase_ts) + month(order_purchase_ts) - 1 as month,
+           max((order_purchase_ts > latest)::int) as version
+    from s_orders, newest group by 1""")
+def _(t):
+    """The run that wrote each month's files: months without new orders keep theirs."""
+    placed = V.newest(t.spark, grown_fact(t)).placed
+    return t.spark.createDataFrame(sorted(placed.items()), "month bigint, version int")
+
+
+def stored_snapshot(t) -> str:
+    """Three runs over the customers' segments: as they are, some turned gold, and gold turned back."""
+    path = scratch(t.spark, "snapshot")
+    base = t.raw("customer").select("c_custkey", F.col("c_mktsegment").alias("segment"), "c_acctbal", "c_nationkey")
+    gold_now = F.when(F.col("c_acctbal") > 5000, "GOLD").otherwise(F.col("segment"))
+    runs = (base.filter("c_nationkey <> 3"), base.withColumn("segment", gold_now), base.filter("c_nationkey <> 4"))
+    for n, rows in enumerate(runs, 1):
+        growing.grow_snapshot(t.spark, rows.select("c_custkey", "segment"), path, ["c_custkey"], ["segment"],
+                              F.lit(f"2024-0{n}-01").cast("timestamp_ntz"), rows_per_bucket=100)
+    return path
+
+
+@query("j3_stored_snapshot", """
+    with rows as (
+        select c_custkey, c_mktsegment as plain, case when c_acctbal > 5000 then 'GOLD' else c_mktsegment end as gold,
+               c_nationkey = 3 as late, c_nationkey = 4 as gone from customer)
+    select c_custkey, plain as segment, timestamp '2024-01-01' as valid_from,
+           case when gold <> plain then timestamp '2024-02-01' end as valid_to from rows where not late
+    union all
+    select c_custkey, gold, timestamp '2024-02-01',
+           case when gold <> plain and not gone then timestamp '2024-03-01' end from rows where late or gold <> plain
+    union all
+    select c_custkey, plain, timestamp '2024-03-01', null from rows where gold <> plain and not gone""")
+def _(t):
+    return V.as_of_version(t.spark, stored_snapshot(t))
+
+
+@query("n43_stored_snapshot", """
+    select order_id, 'shipped' as order_status, order_purchase_ts, timestamp '2024-01-01' as valid_from,
+           case when order_status <> 'shipped' then timestamp '2024-01-02' end as valid_to from s_orders
+    union all
+    select order_id, order_status, order_purchase_ts, timestamp '2024-01-02', null from s_orders
+    where order_status <> 'shipped'""")
+def _(t):
+    path = scratch(t.spark, "snapshot")
+    now = t.orders_placed.select("order_id", "order_status", F.col("order_purchase_ts").alias("order_purchase_timestamp"))
+    for n, rows in enumerate((now.withColumn("order_status", F.lit("shipped")), now), 1):
+        history = build.take_snapshot(t.spark, rows, path, F.lit(f"2024-01-0{n}").cast("timestamp_ntz"))
+    return history.withColumnRenamed("order_purchase_timestamp", "order_purchase_ts")
+
+
 # --- J4 versioned tables ---------------------------------------------------------------
 
 def versioned(t) -> str:
@@ -595,29 +712,238 @@ def _(t):
         F.sum("violations").alias("violations"))
 
 
-@query("a19_change_layers", """
-    select 'customers' as name, count(*) as n from s_customers
-    union all select 'order_items', count(distinct (order_id, order_item_id)) from s_order_items where price > 0
-    union all select 'orders', count(*) from s_orders
-    union all select 'products', count(*) from s_products
-    union all select 'reviews', count(distinct review_id) from m_reviews
-    union all select 'sellers', count(*) from s_sellers
-    union all select 'order_items rejected', count(*) from s_order_items where not price > 0""")
-def _(t):
-    """Files to bronze, bronze to silver through change flows, silver to gold, in one run."""
+def change_layers(t) -> tuple[str, dict[str, DataFrame]]:
+    """Files to bronze, bronze to silver through change flows, silver to gold, in one run.
+
+    Of lines and reviews that repeat their key one is delivered, the last.
+    """
     root = scratch(t.spark, "change-layers")
-    landed = {"customers": t.landed_customers, "order_items": t.landed_order_items, "orders": t.landed_orders,
-              "products": t.landed_products, "reviews": t.landed_order_reviews, "sellers": t.landed_sellers,
-              "translation": t.translation}
+    landed = landed_tables(t)
+    del landed["order_payments"]
+    landed["reviews"] = C.scd1(landed.pop("order_reviews"), ["review_id"], "review_answer_timestamp")
+    landed["order_items"] = C.scd1(landed["order_items"].withColumn("by", F.struct("shipping_limit_date", "product_id", "price")),
+                                   ["order_id", "order_item_id"], "by").drop("by")
     for name, df in landed.items():
-        df.coalesce(1).write.parquet(f"{root}/landing/{name}")
+        df.write.parquet(f"{root}/landing/{name}")
     built = build.run_change_layers(
         t.spark, {name: (f"{root}/landing/{name}", "parquet", None) for name in landed}, f"{root}/out")
-    counts = [df.agg(X.rows().alias("n")).select(F.lit(name).alias("name"), "n")
-              for name, df in built.items() if name in silver.change_tables() and name in landed]
-    rejected = flows.rule_results(t.spark, f"{root}/out/silver/order_items").filter("action = 'drop'").agg(
-        F.max("violations").alias("n")).select(F.lit("order_items rejected").alias("name"), "n")
-    result = rejected
-    for part in counts:
-        result = result.unionByName(part)
-    return result
+    return f"{root}/out", built
+
+
+LAST_ITEMS_SQL = """
+    select * from s_order_items qualify row_number() over (partition by order_id, order_item_id order by
+        strftime(shipping_limit_ts, '%Y-%m-%d %H:%M:%S') desc, product_id::varchar desc, price::varchar desc) = 1"""
+
+
+@query("a19_change_layers", f"""
+    with items as ({LAST_ITEMS_SQL}),
+    last_reviews as (select * from s_order_reviews qualify row_number() over (
+        partition by review_id order by review_answer_timestamp desc) = 1)
+    select 'customers' as name, count(*) as n, sum(hash_of)::bigint as content from (
+        select md5_number_lower(customer_id || '|' || upper(customer_city) || '|' || upper(customer_state)) % 1000003 as hash_of
+        from s_customers)
+    union all select 'order_items', count(*), sum(md5_number_lower(order_id || '|' || order_item_id || '|' || product_id || '|'
+        || seller_id || '|' || (price * 100)::bigint) % 1000003)::bigint from items where price > 0
+    union all select 'orders', count(*), sum(md5_number_lower(order_id || '|' || customer_id || '|' || order_status || '|'
+        || strftime(order_purchase_ts, '%Y-%m-%d') || '|' || coalesce(strftime(delivered_at, '%Y-%m-%d'), '')) % 1000003)::bigint from s_orders
+    union all select 'products', count(*), sum(md5_number_lower(product_id || '|' || coalesce(product_category_name, '') || '|'
+        || coalesce(product_category_name_english, '') || '|' || product_weight_g::bigint) % 1000003)::bigint from m_labels
+    union all select 'reviews', count(*), sum(md5_number_lower(review_id || '|' || order_id || '|' || review_score) % 1000003)::bigint
+    from last_reviews where order_id % 11 <> 0
+    union all select 'sellers', count(*), sum(md5_number_lower(seller_id || '|' || upper(seller_city) || '|' || upper(seller_state)) % 1000003)::bigint
+    from s_sellers
+    union all select 'order_items rejected', count(*), 0 from items where not price > 0""")
+def _(t):
+    """What every silver table holds, as a count and a checksum of its rows."""
+    out, built = change_layers(t)
+    day = lambda c: F.coalesce(F.date_format(c, "yyyy-MM-dd"), F.lit(""))
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    whole = lambda c, by=1: F.round(F.col(c) * by).cast("bigint").cast("string")
+    shown = {
+        "customers": ["customer_id", "customer_city", "customer_state"],
+        "order_items": ["order_id", "order_item_id", "product_id", "seller_id", whole("price", 100)],
+        "orders": ["order_id", "customer_id", "order_status", day("order_purchase_timestamp"), day("order_delivered_customer_date")],
+        "products": ["product_id", text("product_category_name"), text("product_category_name_english"), whole("product_weight_g")],
+        "reviews": ["review_id", "order_id", "review_score"],
+        "sellers": ["seller_id", "seller_city", "seller_state"]}
+    parts = [built[name].agg(X.rows().alias("n"), F.sum(md5_remainder(F.concat_ws("|", *columns))).cast("bigint").alias("content"))
+             .select(F.lit(name).alias("name"), "n", "content") for name, columns in shown.items()]
+    rejected = flows.rule_results(t.spark, f"{out}/silver/order_items").filter("action = 'drop'").agg(
+        F.max("violations").alias("n")).select(F.lit("order_items rejected").alias("name"), "n", F.lit(0).cast("bigint").alias("content"))
+    return reduce(DataFrame.unionByName, [*parts, rejected])
+
+
+def md5_remainder(text):
+    """The low half of an MD5, read as DuckDB's md5_number_lower does, modulo a prime."""
+    low = F.substring(F.md5(text), 17, 16)
+    bytes_back = F.concat(*[F.substring(low, i, 2) for i in range(15, 0, -2)])
+    return F.conv(bytes_back, 16, 10).cast("decimal(20,0)") % 1000003
+
+
+@query("a19_change_gold", f"""
+    with items as (select * from ({LAST_ITEMS_SQL}) where price > 0)
+    select coalesce(l.product_category_name_english, 'uncategorized') as category,
+           round(cast(sum(i.price + i.freight_value) as double), 2) as total_revenue,
+           count(distinct i.order_id) as order_count, count(*) as item_count
+    from items i join s_orders o on o.order_id = i.order_id
+         left join m_labels l on l.product_id = i.product_id
+    where o.order_status = 'delivered' group by 1
+    union all
+    select strftime(order_purchase_ts, '%Y-%m'), null, count(*),
+           count(*) filter (where delivered_at > estimated_delivery_at) from s_orders group by 1""")
+def _(t):
+    """Two gold reports of the same run: totals by category, and late deliveries by month."""
+    _, built = change_layers(t)
+    totals = built["category_totals"].select("category", F.round("total_revenue", 2).alias("total_revenue"),
+                                             "order_count", "item_count")
+    months = built["monthly_delivery"].select(
+        F.col("order_month").alias("category"), F.lit(None).cast("double").alias("total_revenue"), "order_count",
+        F.col("late_delivery_count").alias("item_count"))
+    return totals.unionByName(months)
+
+
+# --- N16-N22 as streams -------------------------------------------------------------------
+
+def append_result(t, table: str, landed: DataFrame) -> DataFrame:
+    """The append track's silver table, streamed from bronze in two runs; rejects have a table of their own."""
+    feed = Feed(t.spark)
+    for k in (0, 1):
+        feed.land(landed.filter(F.pmod(F.xxhash64(*landed.columns), F.lit(2)) == k))
+        feed.ingest()
+        rows = silver.APPEND_TRACK[table](flows.stream_of(t.spark, feed.bronze))
+        flows.append_flow(rows, silver.append_rules()[table], f"{feed.root}/silver", f"{feed.root}/checkpoint_silver",
+                          rejects_dir=f"{feed.root}/rejects")
+    return t.spark.read.parquet(f"{feed.root}/silver").drop("batch_id")
+
+
+def as_stream(name: str, batch_query: str):
+    """Registers a streamed form under the SQL of the batch form."""
+    return query(name, ORACLE[batch_query])
+
+
+@as_stream("n16_stream_orders", "n16_append_orders")
+def _(t):
+    return naive(append_result(t, "orders", t.landed_orders))
+
+
+@as_stream("n16_stream_order_items", "n16_append_order_items")
+def _(t):
+    return append_result(t, "order_items", t.landed_order_items).withColumn(
+        "price_with_freight", F.round("price_with_freight", 4))
+
+
+@as_stream("n16_stream_products", "n16_append_products")
+def _(t):
+    return append_result(t, "products", t.landed_products).drop(silver.SOURCE, silver.INGESTED)
+
+
+@as_stream("n16_stream_sellers", "n16_append_sellers")
+def _(t):
+    return append_result(t, "sellers", t.landed_sellers)
+
+
+@as_stream("n16_stream_order_reviews", "n16_append_order_reviews")
+def _(t):
+    return naive(append_result(t, "order_reviews", t.landed_order_reviews))
+
+
+@query("k2_rejected_rows", """
+    select order_id::varchar as order_id, ['has_customer'] as rejected_by from s_orders where customer_id % 7 = 0""")
+def _(t):
+    """Rows that a drop rule turned away, kept with the rule's name."""
+    feed = Feed(t.spark)
+    feed.land(t.landed_orders.withColumn("customer_id", F.when(F.col("customer_id") % 7 != 0, F.col("customer_id"))))
+    feed.ingest()
+    flows.append_flow(flows.stream_of(t.spark, feed.bronze), [Rule("has_customer", F.col("customer_id").isNotNull(), DROP)],
+                      f"{feed.root}/silver", f"{feed.root}/checkpoint_silver", rejects_dir=f"{feed.root}/rejects")
+    return t.spark.read.parquet(f"{feed.root}/rejects").select("order_id", F.col("_rejected_by").alias("rejected_by"))
+
+
+@query("k3_append_fails_whole_batch", """
+    select order_id::varchar as order_id, order_status from s_orders where order_id % 2 = 0
+    union all select 'failed', count(*)::varchar from s_orders where order_id % 2 = 1 and order_id % 5 = 0 having count(*) > 0""")
+def _(t):
+    """A batch that violates a fail rule writes nothing; what came before stays."""
+    feed = Feed(t.spark)
+    rows = t.landed_orders.select("order_id", "order_status")
+    broken = rows.filter(F.col("order_id") % 2 == 1).withColumn(
+        "order_id", F.when(F.col("order_id") % 5 != 0, F.col("order_id")))
+    must = [Rule("has_id", F.col("order_id").isNotNull(), FAIL)]
+    failed = []
+    for part in (rows.filter(F.col("order_id") % 2 == 0), broken):
+        feed.land(part)
+        feed.ingest()
+        stream = flows.stream_of(t.spark, feed.bronze).select("order_id", "order_status")
+        try:
+            flows.append_flow(stream, must, f"{feed.root}/silver", f"{feed.root}/checkpoint_silver")
+        except StreamingQueryException as error:
+            failed += re.findall(r"'has_id': (\d+)", str(error))[:1]
+    stored = t.spark.read.parquet(f"{feed.root}/silver").select("order_id", "order_status")
+    note = t.spark.createDataFrame([("failed", n) for n in failed], "order_id string, order_status string")
+    return stored.unionByName(note)
+
+
+def change_result(t, table: str, landed: DataFrame, stage) -> DataFrame:
+    """A silver table through its change flow, in two batches; the second delivers half of the first again."""
+    feed = Feed(t.spark)
+    spec = silver.change_tables()[table]
+    half = F.pmod(F.xxhash64(*landed.columns), F.lit(4))
+    for part in (half < 2, half > 0):
+        feed.land(landed.filter(part))
+        feed.ingest()
+        flows.change_flow(t.spark, feed.bronze, stage, spec, f"{feed.root}/silver", f"{feed.root}/checkpoint_silver", buckets=4)
+    return flows.read_type1(t.spark, f"{feed.root}/silver", spec.keys).drop(silver.SOURCE, silver.INGESTED)
+
+
+def arrived(stage, instant):
+    """The stage with the time of arrival taken from the data, so that both engines know it."""
+    return lambda landed: stage(landed.withColumn(silver.INGESTED, instant))
+
+
+@as_stream("n17_flow_customers", "n17_slv_customers")
+def _(t):
+    return change_result(t, "customers", t.landed_customers, silver.customers_staged)
+
+
+@as_stream("n18_flow_order_items", "n18_slv_order_items")
+def _(t):
+    instant = F.timestamp_add("SECOND", F.col("product_id").cast("int"), F.to_timestamp("shipping_limit_date"))
+    rows = change_result(t, "order_items", t.landed_order_items, arrived(silver.order_items_staged, instant))
+    return naive(rows.withColumn("total_item_value", F.round("total_item_value", 4)))
+
+
+@as_stream("n19_flow_orders", "n19_slv_orders")
+def _(t):
+    return naive(change_result(t, "orders", t.landed_orders, silver.orders_staged))
+
+
+@as_stream("n20_flow_products", "n20_slv_products")
+def _(t):
+    return change_result(t, "products", t.landed_products, lambda df: silver.products_staged(df, t.translation))
+
+
+@as_stream("n21_flow_reviews", "n21_slv_reviews")
+def _(t):
+    instant = F.to_timestamp("review_answer_timestamp")
+    return naive(change_result(t, "reviews", t.landed_order_reviews, arrived(silver.reviews_staged, instant)))
+
+
+@as_stream("n22_flow_sellers", "n22_slv_sellers")
+def _(t):
+    return change_result(t, "sellers", t.landed_sellers, silver.sellers_staged)
+
+
+# --- I10 a stream behind a changing table ------------------------------------------------------
+
+@query("i10_inserts_of_a_changing_table", """
+    select order_id, customer_id, case when order_status = 'canceled' then 'canceled' else 'created' end as order_status
+    from s_orders""")
+def _(t):
+    """Of an insert, a merge, an update and a restore only new rows arrive, each once, over two runs."""
+    path, out = versioned(t), scratch(t.spark, "inserts")
+    checkpoint = f"{out}-checkpoint"
+    flows.insert_flow(t.spark, path, ["order_id"], out, checkpoint)
+    V.publish(V.as_of_version(t.spark, path).withColumn("order_status", F.lit("lost")), path, "update")
+    V.restore(t.spark, path, 0)
+    flows.insert_flow(t.spark, path, ["order_id"], out, checkpoint)
+    return t.spark.read.parquet(out).select("order_id", "customer_id", "order_status")

@@ -35,8 +35,7 @@ MODEL_SQL.update({
                coalesce(m.freight_total, 0) as freight_total,
                coalesce(m.order_total, 0) as order_total, m.total_paid, m.max_installments,
                date_diff('day', order_purchase_ts, delivered_at) as days_to_deliver,
-               case when epoch_us(delivered_at) - epoch_us(estimated_delivery_at) > 0
-                    then 1 else 0 end as is_late
+               case when delivered_at > estimated_delivery_at then 1 else 0 end as is_late
         from m_money m right join s_orders using (order_id)
              left join s_customers who using (customer_id)""",
     "m_people": """
@@ -481,7 +480,7 @@ def delivery_by_customer_state(t):
         select order_id, sum(price) as price,
                (select category from m_labels l where l.product_id = i.product_id) as category
         from s_order_items i group by order_id, 3)
-    select category, last_day(order_purchase_ts) - day(last_day(order_purchase_ts))::int + 1 as order_month,
+    select category, cast(date_trunc('month', order_purchase_ts) as date) as order_month,
            count(*) as order_count, cast(sum(price) as double) as revenue
     from baskets semi join (select order_id from s_orders where order_status = 'delivered') using (order_id)
          join s_orders using (order_id)

@@ -54,14 +54,35 @@ def scd1_state(changes: DataFrame, keys: Sequence[str], sequence_by: str,
 
     States of disjoint or overlapping sets of changes merge with ``merge_states``,
     in any order and any number of times. Winners are maxima, which combine
-    before the shuffle, so a key with very many changes stays cheap.
+    before the shuffle, so a key with very many changes stays cheap. A change
+    without NULLs can only win as a whole (a newer value beats it column by
+    column), so it carries its order once; only incomplete changes carry one
+    for each known column.
     """
     values = _values(changes, keys)
-    winners = ([F.max(_known(c)).alias(c) for c in values] if ignore_null_updates
-               else [F.max(_whole(values)).alias(ROW)])
+    if not ignore_null_updates:
+        winners = [F.max(_whole(values)).alias(ROW)]
+    else:
+        complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in values], F.lit(True))
+        winners = [F.max(F.when(complete, _whole(values))).alias(ROW),
+                   *[F.max(F.when(~complete, _known(c))).alias(c) for c in values]]
     return _with_order(changes, keys, sequence_by).groupBy(*keys).agg(*winners)
 
 
+def split_incomplete(state: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same state where whole rows hold no NULL, also after new columns were added to it."""
+    columns = [c for c in state.columns if c not in (*keys, ROW)]
+    if not columns or ROW not in state.columns:
+        return state
+    v = F.col(ROW)["v"]
+    in_row = state.schema[ROW].dataType["v"].dataType.names
+    gap = F.col(ROW).isNotNull() & ~reduce(lambda a, b: a & b, [
+        v[c].isNotNull() if c in in_row else F.lit(False) for c in columns], F.lit(True))
+    known = {c: F.greatest(F.col(c), F.when(gap & v[c].isNotNull(), F.struct(F.col(ROW)["o"].alias("o"), v[c].alias("v"))))
+             for c in columns if c in in_row}
+    return state.withColumns({**known, ROW: F.when(~gap, F.col(ROW))})
+
+
 def merge_states(states: DataFrame, keys: Sequence[str]) -> DataFrame:
     return states.groupBy(*keys).agg(
         *[F.max(c).alias(c) for c in states.columns if c not in keys])
@@ -69,9 +90,18 @@ def merge_states(states: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def scd1_rows(state: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The plain table behind a state."""
-    if ROW in state.columns:
+    columns = [c for c in state.columns if c not in (*keys, ROW)]
+    if not columns:
         return state.select(*keys, f"{ROW}.v.*")
-    return state.select(*keys, *[F.col(c)["v"].alias(c) for c in state.columns if c not in keys])
+    in_row = state.schema[ROW].dataType["v"].dataType.names if ROW in state.columns else []
+
+    def winner(c: str) -> Column:
+        if c not in in_row:  # a column that came after the stored rows
+            return F.col(c)["v"]
+        newer = F.coalesce(F.col(c)["o"] > F.col(ROW)["o"], F.col(ROW).isNull())
+        return F.when(newer, F.col(c)["v"]).otherwise(F.col(ROW)["v"][c])
+
+    return state.select(*keys, *[winner(c).alias(c) for c in columns])
 
 
 def scd1(changes: DataFrame, keys: Sequence[str], sequence_by: str,
@@ -96,15 +126,17 @@ def one_change_per_sequence(changes: DataFrame, keys: Sequence[str], sequence_by
         *grain, f"{ROW}.*").select(*changes.columns)
 
 
-class MissingSequence(Exception):
-    """A change without a sequence has no place among the versions of its key."""
-
-
 def without_sequence(changes: DataFrame, sequence_by: str) -> DataFrame:
     """The changes that ``scd2`` cannot place, to be looked at or repaired."""
     return changes.filter(F.col(sequence_by).isNull())
 
 
+def _with_sequence(changes: DataFrame, sequence_by: str) -> DataFrame:
+    """The changes; one without a sequence has no place among the versions of its key and stops the job."""
+    return changes.withColumn(sequence_by, F.coalesce(F.col(sequence_by), F.raise_error(F.lit(
+        f"MissingSequence: a change has no {sequence_by}")).cast(changes.schema[sequence_by].dataType)))
+
+
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Join on the keys with NULL equal to NULL; the key columns are those of the left side."""
     other = {c: f"__r{i}" for i, c in enumerate(keys)}
@@ -138,9 +170,7 @@ def scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
     if on_missing_sequence == "skip":
         changes = changes.filter(F.col(sequence_by).isNotNull())
     else:
-        checked = F.coalesce(F.col(sequence_by), F.raise_error(F.lit(
-            f"MissingSequence: a change has no {sequence_by}")).cast(changes.schema[sequence_by].dataType))
-        changes = changes.withColumn(sequence_by, checked)
+        changes = _with_sequence(changes, sequence_by)
     untracked = set(track_except) | {sequence_by}
     tracked = [c for c in _values(changes, keys) if c not in untracked]
     build = _Versions(keys, sequence_by, tracked, _values(changes, keys), ignore_null_updates)
@@ -178,10 +208,43 @@ def _stretches(rows: DataFrame, keys: Sequence[str], seq: str, max_rows: int) ->
     return _stored(rows.repartitionByRange(pieces, *keys, seq).withColumn("__part", F.spark_partition_id()))
 
 
+SINCE = "__since"
+
+
+def extend_scd2(opened: DataFrame, changes: DataFrame, keys: Sequence[str], sequence_by: str,
+                track_except: Sequence[str] = (), ignore_null_updates: bool = False) -> DataFrame:
+    """The open versions of some keys and all that follows, given later changes of these keys.
+
+    ``opened`` has one open version for each key that has versions already. All
+    changes come after the last one their key has seen (see ``late_keys``), so
+    the open version stands for everything before it: it holds the last known
+    values, and its start is kept. Closed versions stay as they are.
+    """
+    changes = _with_sequence(changes, sequence_by)
+    values = _values(changes, keys)
+    tracked = [c for c in values if c not in {*track_except, sequence_by}]
+    build = _Versions(keys, sequence_by, tracked, values, ignore_null_updates, SINCE)
+    before = opened.withColumnRenamed(START, SINCE).drop(END)
+    rows = changes.unionByName(before, allowMissingColumns=True)
+    missing = [c for c in rows.columns if c not in (*keys, *values, SINCE)]
+    single = one_change_per_sequence(rows.drop(*missing).repartition(*keys), keys, sequence_by, ignore_null_updates)
+    return build.by_key(single)
+
+
+def late_keys(opened: DataFrame, changes: DataFrame, keys: Sequence[str], sequence_by: str,
+              max_rows_per_key: int) -> DataFrame:
+    """Keys of which a change is not after the last one in their open version, or that have very many."""
+    firsts = changes.groupBy(*keys).agg(F.min(sequence_by).alias("__first"), X.rows().alias("__n"))
+    lasts = opened.select(*keys, F.col(sequence_by).alias("__last"))
+    met = same_keys(firsts, lasts, keys, "left")
+    return met.filter((F.col("__first") <= F.col("__last")) | (F.col("__n") > max_rows_per_key)).select(*keys)
+
+
 class _Versions:
-    def __init__(self, keys, seq, tracked, values, fill):
+    def __init__(self, keys, seq, tracked, values, fill, since=None):
         self.keys, self.seq, self.tracked, self.values, self.fill = (
             list(keys), seq, tracked, values, fill)
+        self.since = F.col(seq) if since is None else F.coalesce(F.col(since), F.col(seq))
         self.filled = [c for c in values if c != seq] if fill else []
 
     def _state(self) -> Column:
@@ -190,7 +253,7 @@ class _Versions:
     def _collapse(self, runs: DataFrame, *run: str) -> DataFrame:
         """Last row of every run of equal tracked values."""
         row = F.max_by(F.struct(*[F.col(c) for c in self.values]), F.col(self.seq))
-        return runs.groupBy(*self.keys, *run).agg(F.min(self.seq).alias(START), row.alias(ROW))
+        return runs.groupBy(*self.keys, *run).agg(F.min(self.since).alias(START), row.alias(ROW))
 
     def _result(self, versions: DataFrame) -> DataFrame:
         return versions.select(*self.keys, f"{ROW}.*", START, END)
@@ -279,7 +342,8 @@ class DuplicateSourceKey(Exception):
     """Two source rows would change the same target row."""
 
 
-def _no_duplicates(source: DataFrame, keys: Sequence[str]) -> None:
+def check_unique(source: DataFrame, keys: Sequence[str]) -> None:
+    """Stops where a key without NULLs has more than one row."""
     complete = source.dropna(subset=list(keys))
     if not complete.groupBy(*keys).agg(X.rows().alias("n")).filter("n > 1").isEmpty():
         raise DuplicateSourceKey(f"more than one source row for a value of {list(keys)}")
@@ -294,7 +358,7 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str],
     and a target with a hot key can be split. NULL keys match nothing.
     """
     keys = list(on)
-    _no_duplicates(source, keys)
+    check_unique(source, keys)
     updated = [c for c in (update_cols if update_cols is not None else source.columns)
                if c not in keys]
     patch = source.select(*keys, F.struct(*[F.col(c) for c in updated]).alias("__new"))
@@ -327,31 +391,40 @@ def incremental(target: DataFrame | None, source: DataFrame, key: Sequence[str],
 VALID_FROM, VALID_TO = "valid_from", "valid_to"
 
 
+def opened_rows(source: DataFrame, run_ts: Column) -> DataFrame:
+    """Source rows as versions that begin with this run."""
+    return source.withColumns({VALID_FROM: run_ts, VALID_TO: F.lit(None).cast(_type_of(source, run_ts))})
+
+
+def _same(a: Column, b: Column, columns: Sequence[str]) -> Column:
+    return reduce(lambda x, y: x & y, [a[c].eqNullSafe(b[c]) for c in columns], F.lit(True))
+
+
+def snapshot_news(current: DataFrame, opened: DataFrame, key: Sequence[str], check_cols: Sequence[str]) -> DataFrame:
+    """The opened rows whose key is not in the open versions, or with other checked columns there."""
+    seen = F.struct(*[F.col(c) for c in check_cols])
+    was = current.select(*key, seen.alias("__was"))
+    met = same_keys(opened.withColumn("__now", seen), was, key, "left")
+    return met.filter(F.col("__was").isNull() | ~_same(F.col("__now"), F.col("__was"), check_cols)).drop("__now", "__was")
+
+
 def snapshot_check(history: DataFrame | None, source: DataFrame, key: Sequence[str],
                    check_cols: Sequence[str], run_ts: Column) -> DataFrame:
     """Adds a version for every row whose checked columns changed, closing the old one.
 
-    Keys that vanish from the source stay open.
+    Keys that vanish from the source stay open. ``growing.grow_snapshot`` does
+    the same to a stored history without rewriting it.
     """
     keys = list(key)
-    _no_duplicates(source, keys)
-    opened = source.withColumns({VALID_FROM: run_ts,
-                                 VALID_TO: F.lit(None).cast(_type_of(source, run_ts))})
+    check_unique(source, keys)
+    opened = opened_rows(source, run_ts)
     if history is None:
         return opened
-
-    def same(a: str, b: str) -> Column:
-        return reduce(lambda x, y: x & y, [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}"))
-                                           for c in check_cols])
-    seen = F.struct(*[F.col(c) for c in check_cols])
-    now = source.select(*keys, seen.alias("now"))
-    was = history.filter(F.col(VALID_TO).isNull()).select(*keys, seen.alias("was"))
-    ended = F.col(VALID_TO).isNull() & F.col("now").isNotNull() & ~same("now", "kept")
-    closed = (history.withColumn("kept", seen).join(now, keys, "left")
-              .withColumn(VALID_TO, F.when(ended, run_ts).otherwise(F.col(VALID_TO)))
-              .select(*history.columns))
-    fresh = (opened.withColumn("now", seen).join(was, keys, "left")
-             .filter(F.col("was").isNull() | ~same("now", "was")))
+    fresh = snapshot_news(history.filter(F.col(VALID_TO).isNull()), opened, keys, check_cols)
+    replaced = fresh.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(keys)]).withColumn("__ends", F.lit(True))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(keys)])
+    closed = history.join(replaced, same & F.col(VALID_TO).isNull(), "left").withColumn(
+        VALID_TO, F.when(F.col("__ends"), run_ts).otherwise(F.col(VALID_TO))).select(*history.columns)
     return closed.unionByName(fresh.select(*history.columns))
 
 

@@ -50,6 +50,12 @@ def drop_violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.filter(_kept(rules)) if any(r.action == DROP for r in rules) else df
 
 
+def rejected_rows(df: DataFrame, rules: Sequence[Rule], reasons: str = "_rejected_by") -> DataFrame:
+    """The rows that drop rules turn away, with the names of the violated ones."""
+    names = F.array_compact(F.array(*[F.when(~_holds(r), F.lit(r.name)) for r in rules if r.action == DROP]))
+    return df.withColumn(reasons, names).filter(F.size(reasons) > 0)
+
+
 def expectation_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """(rule, action, violations) for all rules in one pass over the rows."""
     counts = df.agg(*_violations(rules))
@@ -64,11 +70,21 @@ def apply_expectations(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame,
     """
     if not rules:
         return df, {}
-    counts = df.agg(*_violations(rules)).first().asDict()
+    return measure_expectations(df, rules, lambda kept: [])[:2]
+
+
+def measure_expectations(df: DataFrame, rules: Sequence[Rule], facts: Callable[[Column], list[Column]]
+                         ) -> tuple[DataFrame, dict[str, int], dict]:
+    """``apply_expectations`` with further aggregates in the same pass.
+
+    ``facts`` gets the condition that a row passes the drop rules.
+    """
+    found = df.agg(*_violations(rules), *facts(_kept(rules))).first().asDict()
+    counts = {r.name: found.pop(r.name) for r in rules}
     failed = {r.name: counts[r.name] for r in rules if r.action == FAIL and counts[r.name]}
     if failed:
         raise RuleFailed(f"violated: {failed}")
-    return drop_violations(df, rules), counts
+    return drop_violations(df, rules), counts, found
 
 
 def observe_expectations(df: DataFrame, rules: Sequence[Rule], name: str) -> DataFrame:

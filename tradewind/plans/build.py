@@ -7,10 +7,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.operators import changes
 from tradewind.operators.quality import require_passing
 from tradewind.plans import gold, model_tests, silver, staging, star
-from tradewind.sources import versions as V
+from tradewind.sources import growing, layout
 from tradewind.streaming import flows, ingest
 
 FACT_KEY, FACT_CURSOR = ["order_id"], "order_purchase_ts"
@@ -26,6 +25,8 @@ def build_star(spark: SparkSession, staged: Mapping[str, DataFrame], out_dir: st
                now=None, test: bool = True, full_refresh: bool = False) -> dict[str, DataFrame]:
     """Builds layer by layer; a failed test of severity error stops before the next layer.
 
+    The sources are tested first, their freshness among other things.
+
     Staging stays views. What several later tables read is stored once. The fact
     table is a versioned table that takes only newer orders after its first build.
     """
@@ -39,6 +40,7 @@ def build_star(spark: SparkSession, staged: Mapping[str, DataFrame], out_dir: st
         tables[name] = spark.read.parquet(path)
 
     tables = dict(staged)
+    gate(model_tests.source_tests(now))
     gate(model_tests.staging_tests())
 
     tables["payments_per_order"] = star.payments_per_order(staged["order_payments"])
@@ -47,8 +49,9 @@ def build_star(spark: SparkSession, staged: Mapping[str, DataFrame], out_dir: st
         staged["orders"], staged["customers"], staged["order_items"], staged["order_payments"]))
     gate(model_tests.intermediate_tests())
 
-    tables["fct_orders"] = _grow_fact(spark, star.fact_orders(tables["orders_enriched"]),
-                                      os.path.join(out_dir, "marts", "fct_orders"), full_refresh)
+    tables["fct_orders"] = growing.grow_by_month(
+        spark, star.fact_orders(tables["orders_enriched"]), os.path.join(out_dir, "marts", "fct_orders"),
+        FACT_KEY, FACT_CURSOR, full_refresh)
     store("marts", "dim_customers", star.dim_customers(tables["orders_enriched"]))
     store("marts", "dim_products", star.dim_products(staged["products"], staged["translation"]))
     gate(model_tests.mart_tests(now))
@@ -69,21 +72,10 @@ def build_star(spark: SparkSession, staged: Mapping[str, DataFrame], out_dir: st
     return tables
 
 
-def _grow_fact(spark: SparkSession, source: DataFrame, path: str, full_refresh: bool
-               ) -> DataFrame:
-    target = V.as_of_version(spark, path)
-    grown = changes.incremental(target, source, FACT_KEY, FACT_CURSOR, full_refresh)
-    V.publish(grown, path, "full" if target is None or full_refresh else "merge")
-    return V.as_of_version(spark, path)
-
-
 def take_snapshot(spark: SparkSession, landed_orders: DataFrame, path: str, run_ts) -> DataFrame:
     """Adds today's order statuses to the history of statuses."""
     source = landed_orders.select("order_id", "order_status", "order_purchase_timestamp")
-    history = changes.snapshot_check(V.as_of_version(spark, path), source, ["order_id"],
-                                     ["order_status"], run_ts)
-    V.publish(history, path, "snapshot")
-    return V.as_of_version(spark, path)
+    return growing.grow_snapshot(spark, source, path, ["order_id"], ["order_status"], run_ts)
 
 
 # --- the change pipeline -------------------------------------------------------
@@ -124,6 +116,6 @@ def run_change_layers(spark: SparkSession, sources: Mapping[str, tuple[str, str,
             tables["reviews"], tables["orders"], tables["order_items"], tables["products"]),
     }
     for name, df in reports.items():
-        df.write.mode("overwrite").parquet(path("gold", name))
+        layout.write_clustered(df, path("gold", name), gold.CLUSTER_BY[name])
         tables[name] = spark.read.parquet(path("gold", name))
     return tables

@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from tradewind.functions import columns as X
 from tradewind.functions.columns import rows
 
+# how the reports of the change track are laid out
+CLUSTER_BY = {"monthly_delivery": ["order_month"], "category_totals": ["category"],
+              "category_review_scores": ["category"]}
+
 
 def _delivered(orders: DataFrame) -> DataFrame:
     return orders.filter(F.col("order_status") == "delivered")

@@ -82,3 +82,27 @@ def rescue_cast(texts: DataFrame, schema: T.StructType, rescued: str = "_rescued
         *[F.col(f.name).try_cast(f.dataType).alias(f.name) if f in present
           else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields],
         *others, note.alias(rescued))
+
+
+def rescue_types(rows: DataFrame, schema: T.StructType, rescued: str = "_rescued_data") -> DataFrame:
+    """Brings columns of other types to the schema; what does not fit stays as JSON in ``rescued``.
+
+    A text fits where it can be cast, a number where casting loses nothing.
+    """
+    have = {f.name: f.dataType for f in rows.schema.fields}
+    lost, fitted = [], []
+    for f in schema.fields:
+        if have.get(f.name, f.dataType) == f.dataType:
+            fitted.append(F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        value, cast = F.col(f.name), F.col(f.name).try_cast(f.dataType)
+        fits = cast.isNotNull()
+        if isinstance(have[f.name], T.NumericType) and isinstance(f.dataType, T.NumericType):
+            fits &= F.coalesce(cast.try_cast(have[f.name]) == value, F.lit(False))
+        fitted.append(F.when(fits, cast).alias(f.name))
+        lost.append(F.when(value.isNotNull() & ~fits, value.cast("string")).alias(f.name))
+    note = F.lit(None).cast("string")
+    if lost:
+        note = F.when(F.coalesce(*lost).isNotNull(), F.to_json(F.struct(*lost)))
+    others = [c for c in rows.columns if c not in schema.names]
+    return rows.select(*fitted, *others, note.alias(rescued))

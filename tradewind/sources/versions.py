@@ -2,29 +2,37 @@
 
 Every change writes new files and then one row into the table's list of
 versions; readers see only what the list names. One writer at a time; old files
-are kept. A table may be split into buckets of its key: a change then rewrites
-only the buckets it touches, and a reader takes each bucket's latest files.
+are kept. A table may be split into numbered parts, by default the buckets of
+its key: a change then rewrites only the parts it touches. Each row of the list
+is complete in itself: it says which version holds the files of every part, the
+schema, and the last batch of each flow, so that a reader or writer looks at one
+row only.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradewind.functions import columns as X
 
 BUCKET = "__bucket"
-LIST_SCHEMA = ("version int, published_at timestamp, operation string, rows bigint, "
-               "buckets array<int>, whole boolean, flow string, batch_id bigint, "
-               "keys array<string>, bucket_count int, restored int")
+UNPARTED = -1  # the one part of a table that is not split
+MOST_BUCKETS = 1 << 15  # parts of a table: as many as one bitmap has bits
+LIST_SCHEMA = ("version int, published_at timestamp, operation string, rows bigint, total bigint, "
+               "flow string, batch_id bigint, keys array<string>, bucket_count int, restored int, "
+               "placed map<int,int>, applied map<string,bigint>, body string")
 
 
-def _list(path: str) -> str:
+def list_path(path: str) -> str:
+    """Where the list is kept: one small file for each version."""
     return os.path.join(path, "versions")
 
 
@@ -33,72 +41,110 @@ def _files(path: str, version: int) -> str:
 
 
 def versions(spark: SparkSession, path: str) -> DataFrame:
-    """The list of versions: when, by which operation, how many rows were written."""
+    """The list of versions: when, by which operation, how many rows were written and are there in all."""
     try:
-        return spark.read.schema(LIST_SCHEMA).parquet(_list(path))
+        return spark.read.schema(LIST_SCHEMA).parquet(list_path(path))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], LIST_SCHEMA)
 
 
+def newest(spark: SparkSession, path: str, version: int | None = None) -> Row | None:
+    """The newest row of the list, or the newest up to a version; None before the first."""
+    listed = versions(spark, path)
+    if version is not None:
+        listed = listed.filter(F.col("version") <= version)
+    return listed.orderBy(F.desc("version")).first()
+
+
 def latest_version(spark: SparkSession, path: str) -> int | None:
-    return versions(spark, path).agg(F.max("version")).first()[0]
+    last = newest(spark, path)
+    return None if last is None else last.version
 
 
-def already_published(spark: SparkSession, path: str, flow: str, batch_id: int) -> bool:
-    """True when a stream's batch is in the table: a batch may be delivered again."""
-    return not versions(spark, path).filter(
-        (F.col("flow") == flow) & (F.col("batch_id") == batch_id)).isEmpty()
+def applied_up_to(known: Row | None, flow: str) -> int:
+    """The last batch of a flow that a version holds; a batch may be delivered again."""
+    return -1 if known is None else known.applied.get(flow, -1)
 
 
 def bucketing(spark: SparkSession, path: str) -> tuple[list[str], int] | None:
     """Keys and number of buckets of the newest version; None before the first."""
-    last = versions(spark, path).orderBy(F.desc("version")).select("keys", "bucket_count").first()
-    return None if last is None else (list(last.keys or ()), last.bucket_count or 0)
+    last = newest(spark, path)
+    return None if last is None else (list(last["keys"] or ()), last.bucket_count or 0)
 
 
 class BucketMismatch(Exception):
     """Touched buckets of another bucket count cannot join the stored ones."""
 
 
+def bucket_bits(bucket: Column) -> Column:
+    """An aggregate: the set of bucket numbers below ``MOST_BUCKETS``, one bit each; NULL is left out."""
+    return F.call_function("bitmap_construct_agg", bucket.cast("long"))
+
+
+def buckets_in(bits: bytes | None) -> list[int]:
+    return [8 * i + k for i, byte in enumerate(bits or b"") if byte for k in range(8) if byte >> k & 1]
+
+
 def publish(df: DataFrame, path: str, operation: str, keys: Sequence[str] = (),
             buckets: int = 0, touched: Sequence[int] | None = None,
             flow: str | None = None, batch_id: int | None = None,
-            restored: int | None = None) -> int:
-    """Writes the rows as the next version, or as that version's touched buckets.
+            restored: int | None = None, replaced: Observation | None = None,
+            cluster_by: Sequence[str] = (), part: Column | None = None) -> int:
+    """Writes the rows as the next version, or as that version's touched parts.
 
+    A row's part is its bucket of the keys, or the number that ``part`` gives.
     Keys and number of buckets are stored with each version. Only a whole
-    version may change them (see ``rebucket``).
+    version may change them (see ``rebucket``). ``replaced`` has observed, as
+    ``rows``, the stored rows that the touched parts held before. Within a
+    part's files rows are sorted by ``cluster_by``.
     """
     spark = df.sparkSession
-    known = bucketing(spark, path)
-    if touched is not None and known is not None and known != (list(keys), buckets):
-        raise BucketMismatch(f"the table has {known}, not {(list(keys), buckets)}")
-    last = latest_version(spark, path)
-    version = 0 if last is None else last + 1
+    last = newest(spark, path)
+    if touched is not None and last is not None and (list(last["keys"] or ()), last.bucket_count) != (list(keys), buckets):
+        raise BucketMismatch(f"the table has {(last['keys'], last.bucket_count)}, not {(list(keys), buckets)}")
+    version = 0 if last is None else last.version + 1
     whole = touched is None or last is None
     written = Observation()
-    df = df.observe(written, X.rows().alias("rows"))
-    if buckets:
-        df = (df.withColumn(BUCKET, X.key_bucket(keys, buckets)).hint("rebalance", BUCKET))
-        df.write.mode("overwrite").partitionBy(BUCKET).parquet(_files(path, version))
-        touched = _stored_buckets(spark, path, version)  # empty buckets have no folder
+    placed = {UNPARTED: version}
+    if part is None and buckets:
+        part = X.key_bucket(keys, buckets)
+    if part is not None:
+        if buckets > MOST_BUCKETS:
+            raise ValueError(f"at most {MOST_BUCKETS} buckets")
+        parted = df.withColumn(BUCKET, part.cast("int")).observe(
+            written, X.rows().alias("rows"), bucket_bits(F.col(BUCKET)).alias("bits")).hint("rebalance", BUCKET)
+        order = [c for c in cluster_by if c in df.columns and not isinstance(df.schema[c].dataType, T.StructType)]
+        if order:
+            parted = parted.sortWithinPartitions(BUCKET, *order)
+        parted.write.mode("overwrite").partitionBy(BUCKET).parquet(_files(path, version))
+        present = buckets_in(written.get["bits"])
+        placed = {} if whole else {b: v for b, v in last.placed.items() if b not in set(touched)}
+        placed.update((b, version) for b in present)
     else:
-        df.write.mode("overwrite").parquet(_files(path, version))
-    row = spark.createDataFrame(
-        [(version, None, operation, written.get["rows"], touched, whole, flow, batch_id,
-          list(keys), buckets, restored)],
-        LIST_SCHEMA).withColumn("published_at", F.current_timestamp())
-    (row.coalesce(1).write.mode("append").parquet(_list(path)))
+        df.observe(written, X.rows().alias("rows")).write.mode("overwrite").parquet(_files(path, version))
+    rows = written.get["rows"]
+    total = rows if whole else (None if replaced is None or last.total is None
+                                else last.total - replaced.get.get("rows", 0) + rows)
+    applied = dict(last.applied or {}) if last is not None else {}
+    if flow is not None:
+        applied[flow] = batch_id
+    body = df.schema
+    if last is not None and not whole:
+        body = T.StructType([*body.fields, *[f for f in _body(last).fields if f.name not in body.names]])
+    _list_version(spark, path, (version, None, operation, rows, total, flow, batch_id, list(keys), buckets, restored,
+                                placed, applied, body.json()))
     return version
 
 
-def _stored_buckets(spark: SparkSession, path: str, version: int) -> list[int]:
-    stored = spark.read.parquet(_files(path, version))
-    if BUCKET not in stored.columns:
-        return []
-    return [r[0] for r in stored.select(BUCKET).distinct().collect()]
+def _list_version(spark: SparkSession, path: str, row: tuple) -> None:
+    (spark.createDataFrame([row], LIST_SCHEMA).withColumn("published_at", F.current_timestamp())
+     .coalesce(1).write.mode("append").parquet(list_path(path)))
+
+
+def _body(known: Row) -> T.StructType:
+    return T.StructType.fromJson(json.loads(known.body))
 
 
 def version_at(spark: SparkSession, path: str, moment: str) -> int | None:
@@ -108,35 +154,30 @@ def version_at(spark: SparkSession, path: str, moment: str) -> int | None:
 
 
 def as_of_version(spark: SparkSession, path: str, version: int | None = None,
-                  buckets: Sequence[int] | None = None, moment: str | None = None) -> DataFrame | None:
-    """The table at a version or an instant (default: latest), or only some of its buckets.
+                  buckets: Sequence[int] | None = None, moment: str | None = None,
+                  known: Row | None = None) -> DataFrame | None:
+    """The table at a version or an instant (default: latest), or only some of its parts.
 
-    None when there is nothing to read yet. Of the list, only the newest row and
-    one row per bucket come to the driver.
+    None when there is nothing to read yet. Of the list, only one row comes to
+    the driver, or none where the caller has it (``known``).
     """
     if moment is not None:
         version = version_at(spark, path, moment)
         if version is None:
             return None
-    listed = versions(spark, path)
-    if version is not None:
-        listed = listed.filter(F.col("version") <= version)
-    last = listed.orderBy(F.desc("version")).select("version", "buckets").first()
-    if last is None:
+    if known is None:
+        known = newest(spark, path, version)
+    if known is None:
         return None
-    if last.buckets is None:
-        return spark.read.parquet(_files(path, last.version))
-    start = listed.filter("whole").agg(F.max("version")).first()[0]
-    newest = (listed.filter(F.col("version") >= start)
-              .select("version", F.explode("buckets").alias("bucket"))
-              .groupBy("bucket").agg(F.max("version").alias("version")).collect())
-    folders = [os.path.join(_files(path, r.version), f"{BUCKET}={r.bucket}") for r in newest
-               if buckets is None or r.bucket in buckets]
+    schema = _body(known)
+    if UNPARTED in known.placed:
+        return spark.read.schema(schema).parquet(_files(path, known.placed[UNPARTED]))
+    wanted = known.placed.keys() if buckets is None else set(buckets)
+    folders = [os.path.join(_files(path, v), f"{BUCKET}={b}") for b, v in sorted(known.placed.items()) if b in wanted]
     if not folders:
-        return None
+        return spark.createDataFrame([], schema)
     base = os.path.join(path, "data")
-    return (spark.read.option("basePath", base).option("mergeSchema", True).parquet(*folders)
-            .drop("version", BUCKET))
+    return spark.read.schema(schema).option("basePath", base).parquet(*folders).select(*schema.names)
 
 
 def live_batches(spark: SparkSession, path: str) -> DataFrame:
@@ -171,15 +212,18 @@ def version_diff(spark: SparkSession, path: str, old: int, new: int,
 
 
 def restore(spark: SparkSession, path: str, version: int) -> int:
-    """Publishes an old version again as the newest one, in its own buckets."""
+    """Publishes an old version again as the newest one.
+
+    Only the row of the list is written: the files of the old version are there still.
+    """
     old = versions(spark, path).filter(F.col("version") == version).first()
     if old is None:
         raise ValueError(f"{path} has no version {version}")
-    rows = as_of_version(spark, path, version)
-    if rows is None:  # a bucketed version without rows
-        rows = as_of_version(spark, path).limit(0)
-    return publish(rows, path, f"restore {version}", old["keys"] or (), old["bucket_count"] or 0,
-                   restored=version)
+    last = newest(spark, path)
+    _list_version(spark, path, (
+        last.version + 1, None, f"restore {version}", old["rows"] if old.total is None else old.total, old.total, None, None,
+        old["keys"], old.bucket_count, version, old.placed, last.applied, old.body))
+    return last.version + 1
 
 
 def rebucket(spark: SparkSession, path: str, buckets: int) -> int:

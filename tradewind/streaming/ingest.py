@@ -10,6 +10,8 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Sequence
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -18,7 +20,7 @@ from pyspark.sql import types as T
 
 from tradewind.functions import columns as X
 from tradewind.plans.silver import INGESTED, SOURCE
-from tradewind.sources.landing import CSV_TEXT, rescue_cast
+from tradewind.sources.landing import CSV_TEXT, rescue_cast, rescue_types
 from tradewind.streaming.progress import run_to_end
 
 RESCUED = "_rescued_data"
@@ -68,15 +70,23 @@ def widen(stored: T.StructType, seen: T.StructType) -> T.StructType | None:
 def ingest_files(spark: SparkSession, src_dir: str, fmt: str, out_dir: str, checkpoint: str,
                  glob: str | None = None, schema: T.StructType | None = None,
                  rescue: bool = True, multiline: bool = False, sampling: float = 1.0,
-                 files_per_batch: int = 1000, ingested: str = INGESTED) -> int:
-    """Appends the files not seen before to ``out_dir``; returns how many rows that were."""
+                 files_per_batch: int = 1000, ingested: str = INGESTED, mixed_types: bool = False) -> int:
+    """Appends the files not seen before to ``out_dir``; returns how many rows that were.
+
+    ``mixed_types`` takes parquet files in which a column has another type than
+    in the stored schema: values that do not fit it stay in ``_rescued_data``.
+    Without it such a file stops the run.
+    """
+    if fmt == "parquet" and mixed_types:
+        reader = _ParquetReader(spark, src_dir, checkpoint, schema)
+        return _ingest_by_batch(spark, reader, src_dir, out_dir, checkpoint, glob, files_per_batch, ingested)
     if fmt == "parquet":
         return _ingest_parquet(spark, src_dir, out_dir, checkpoint, glob, schema,
                                files_per_batch, ingested)
     if fmt == "csv":
         reader = _CsvReader(spark, src_dir, checkpoint, schema, rescue, multiline, sampling)
-        return _ingest_csv(spark, reader, src_dir, out_dir, checkpoint, glob, files_per_batch,
-                           ingested)
+        return _ingest_by_batch(spark, reader, src_dir, out_dir, checkpoint, glob, files_per_batch,
+                                ingested)
     raise ValueError(f"unknown format {fmt}")
 
 
@@ -100,9 +110,9 @@ def _ingest_parquet(spark, src_dir, out_dir, checkpoint, glob, schema, files_per
     return run_to_end(spark, writer)[0]
 
 
-def _ingest_csv(spark, reader, src_dir, out_dir, checkpoint, glob, files_per_batch,
-                ingested) -> int:
-    """The stream carries file names only; each batch reads its files by their headers.
+def _ingest_by_batch(spark, reader, src_dir, out_dir, checkpoint, glob, files_per_batch,
+                     ingested) -> int:
+    """The stream carries file names only; each batch reads its files by their own columns.
 
     A batch owns one folder of the output, so a batch delivered twice replaces
     its own rows.
@@ -142,6 +152,47 @@ def _ingest_csv(spark, reader, src_dir, out_dir, checkpoint, glob, files_per_bat
     return total
 
 
+class _ParquetReader:
+    """Files grouped by the schema in their footers; each group is read as it is and brought to the stored one."""
+
+    def __init__(self, spark, src_dir, checkpoint, schema):
+        self.spark, self.checkpoint, self.fixed, self.options = spark, checkpoint, schema, {"basePath": src_dir}
+
+    def read_usual(self, paths: Sequence[str]) -> DataFrame | None:
+        """All files at once where their footers agree with each other and with the stored schema."""
+        known = self.fixed or load_schema(self.spark, self.checkpoint)
+        if known is None:
+            return None
+        try:
+            rows = self.spark.read.options(**self.options, mergeSchema=True).parquet(*paths)
+        except AnalysisException as error:
+            if error.getCondition() != "CANNOT_MERGE_SCHEMAS":
+                raise
+            return None
+        kinds = {f.name: f.dataType for f in known.fields}
+        return self._rows(rows, known) if all(kinds.get(f.name) == f.dataType for f in rows.schema.fields) else None
+
+    def read(self, paths: Sequence[str]) -> DataFrame:
+        groups: dict[str, list[str]] = {}
+        with ThreadPool(8) as pool:  # one footer a file, of at most files_per_batch files
+            footers = pool.map(lambda p: self.spark.read.options(**self.options).parquet(p).schema, paths)
+        for path, footer in sorted(zip(paths, footers), key=lambda x: x[0]):
+            groups.setdefault(footer.json(), []).append(path)
+        schemas = [T.StructType.fromJson(json.loads(body)) for body in groups]
+        known = start = self.fixed or load_schema(self.spark, self.checkpoint)
+        for seen in schemas if self.fixed is None else ():
+            known = seen if known is None else widen(known, seen) or known
+        if known is not start:
+            save_schema(self.spark, self.checkpoint, known)
+            if start is not None:
+                raise SchemaWidened(f"new columns {known.names[len(start.names):]}")
+        parts = [self._rows(self.spark.read.options(**self.options).parquet(*same), known) for same in groups.values()]
+        return reduce(DataFrame.unionByName, parts)
+
+    def _rows(self, rows: DataFrame, known: T.StructType) -> DataFrame:
+        return rescue_types(rows.withColumn(SOURCE, F.col("_metadata.file_path")), known, RESCUED)
+
+
 class _CsvReader:
     def __init__(self, spark, src_dir, checkpoint, schema, rescue, multiline, sampling):
         self.spark, self.checkpoint, self.rescue = spark, checkpoint, rescue
