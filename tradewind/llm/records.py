@@ -17,11 +17,14 @@ from __future__ import annotations
 
 import re
 import uuid
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -31,9 +34,9 @@ from tradewind.llm.checksums import crc32c, masked
 
 MAGIC = b"ids"
 FRAME = 16              # bytes of a record besides its payload
-GROUP_CHARS = 1 << 20   # characters that are encoded and framed at once
+GROUP_CHARS = 1 << 21   # characters that are encoded and framed at once
 READ_BYTES = 8 << 20    # bytes that are read at once, or one record
-CACHED = 1 << 19
+CACHED = 1 << 19         # pieces that an encoder keeps, about 60 MB
 
 INDEX = "shard int, file string, doc_id {kind}, offset long, length long, n_tokens long, local_start long"
 
@@ -48,7 +51,8 @@ class WordEncoder:
 
     Such a tokenizer treats what stands between two spaces or line feeds by itself, so the library
     is asked once for each distinct such piece and not for each occurrence. In Latin texts, case is
-    folded and full stops and commas are set apart first, which leaves far fewer pieces.
+    folded and full stops and commas are set apart first, which leaves far fewer pieces. The pieces
+    of a group of texts are numbered by Arrow, and their ids are gathered from one array.
     """
 
     def __init__(self, path: str):
@@ -57,23 +61,32 @@ class WordEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.width = 2 if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.known: dict[str, bytes] = {"": b""}
+        self._forget()
         probe = ["a 'S b\n'll, c. ÉÉ d.. E, f", "it's, x_. Y .", "Ab,c. D"]
-        if self.encode(probe) != [self._packed(self.library.encode(t, add_special_tokens=False).ids) for t in probe]:
+        want = [np.array(self.library.encode(t, add_special_tokens=False).ids, f"<u{self.width}").tobytes() for t in probe]
+        if self.encode(probe) != want:
             raise ValueError(f"{path} does not treat words by themselves")
 
-    def _packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, f"<u{self.width}").tobytes()
+    def _forget(self) -> None:
+        """Known pieces by number, where the ids of each begin, and all ids one after the other."""
+        self.known: dict[str, int] = {"": 0}
+        self.edges = array("q", [0, 0])
+        self.ids = array("H" if self.width == 2 else "I")
 
-    def _cut(self, text: str) -> list[str]:
+    def _prepared(self, text: str) -> str:
         text = text.replace("\n", " ")
         if text.isascii() or _LATIN.fullmatch(text):
             # a special token is found in the text as it stands
-            low = text if "<|" in text else text.lower()
-            if not _SIGN_BEFORE_STOP.search(low):
-                return low.replace(". ", " . ").replace(", ", " , ").split(" ")
-            return low.split(" ")
-        return text.split(" ")
+            text = text if "<|" in text else text.lower()
+            if not _SIGN_BEFORE_STOP.search(text):
+                return text.replace(". ", " . ").replace(", ", " , ")
+        return text
+
+    def _add(self, pieces: list[str], ids: np.ndarray, edges: np.ndarray) -> None:
+        """Pieces with their ids, each from its edge to the next one."""
+        self.known.update(zip(pieces, range(len(self.edges) - 1, len(self.edges) - 1 + len(pieces))))
+        self.edges.frombytes((edges[1:] + len(self.ids)).astype(np.int64).tobytes())
+        self.ids.frombytes(ids.astype(f"u{self.width}").tobytes())
 
     def _learn(self, missing: list[str]) -> None:
         """Words are asked for in one text, of which the library tells the words apart; the rest one by one."""
@@ -83,21 +96,34 @@ class WordEncoder:
             of = np.array(found.word_ids)
             edges = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1], [True]]))
             if len(edges) == len(words) + 1:
-                ids = np.array(found.ids, f"<u{self.width}")
-                self.known.update((w, ids[a:b].tobytes()) for w, a, b in
-                                  zip(words, edges[:-1].tolist(), edges[1:].tolist()))
+                self._add(words, np.array(found.ids), edges)
         rest = [m for m in missing if m not in self.known]
-        for piece, found in zip(rest, self.library.encode_batch(rest, add_special_tokens=False)):
-            self.known[piece] = self._packed(found.ids)
+        if rest:
+            each = [e.ids for e in self.library.encode_batch_fast(rest, add_special_tokens=False)]
+            self._add(rest, np.array(list(chain.from_iterable(each)), np.int64),
+                      np.concatenate([[0], np.cumsum([len(e) for e in each])]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self._cut(t) for t in texts]
+        if not texts:
+            return []
+        cut = pc.split_pattern(pa.array(map(self._prepared, texts), pa.large_string()), " ")
+        ends = cut.offsets.to_numpy()
+        numbered = cut.values.dictionary_encode()
+        distinct, at = numbered.dictionary.to_numpy(zero_copy_only=False).tolist(), numbered.indices.to_numpy()
         if len(self.known) > CACHED:
-            self.known = {"": b""}
-        missing = set().union(*cut) - self.known.keys()
+            self._forget()
+        missing = [p for p in distinct if p not in self.known]
         if missing:
-            self._learn(list(missing))
-        return [b"".join(map(self.known.__getitem__, pieces)) for pieces in cut]
+            self._learn(missing)
+        place = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[at]
+        edges = np.frombuffer(self.edges, np.int64)
+        starts, sizes = edges[place], edges[place + 1] - edges[place]
+        behind = np.cumsum(sizes)
+        total = int(behind[-1]) if len(behind) else 0
+        gather = np.repeat(starts - behind + sizes, sizes) + np.arange(total)
+        ids = np.frombuffer(self.ids, f"u{self.width}")[gather].astype(f"<u{self.width}") if total else b""
+        borders = np.concatenate([[0], behind])[ends].tolist()
+        return [ids[a:b].tobytes() if b > a else b"" for a, b in zip(borders[:-1], borders[1:])]
 
 
 @lru_cache(maxsize=2)
