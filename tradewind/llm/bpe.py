@@ -22,10 +22,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.llm.words import returning
+
 WINDOW = 1 << 16        # characters of a text that are cut into pre-tokens at once
 AHEAD = 3               # characters that decide how a pre-token begins: the longest contraction
 STEP = 1 << 12          # bytes of a long pre-token that are settled at once
-CACHED = 1 << 19        # pre-tokens in the cache
+CACHED = 1 << 17        # pre-tokens in the cache, about 30 MB
 CACHED_BYTES = 64       # longest pre-token in the cache
 BATCH_IDS = 1 << 21     # ids or characters of an output batch
 
@@ -280,7 +282,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                     first, packed, total = i + 1, [], 0
     kind = docs.schema[id_col].dataType.simpleString()
     return (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-            .mapInArrow(run, f"doc_id {kind}, ids array<int>"))
+            .mapInArrow(returning(run), f"doc_id {kind}, ids array<int>"))
 
 
 def _lists(ids: pa.Array, packed: list[bytes]) -> pa.RecordBatch:
@@ -320,4 +322,4 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", out_col: str = "
                     first, texts, total = i + 1, [], 0
     fields = [f for f in encoded.schema.fields if f.name in others]
     shape = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), f"`{out_col}` string"])
-    return encoded.select(*others, ids_col).mapInArrow(run, shape)
+    return encoded.select(*others, ids_col).mapInArrow(returning(run), shape)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.words import NO_LETTER, Block, Words, blocks, split_words, windows
+from tradewind.llm.words import NO_LETTER, Block, Words, blocks, returning, split_words, windows
 from tradewind.session import scratch
 
 RATE = 0.2
@@ -215,7 +215,7 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
                          pa.array([len(items.words[f[1]]) for f in found], pa.int32()),
                          pa.array([f[3] for f in found], pa.int64()), pa.array([f[4] for f in found], pa.int64())],
                         names=["doc_id", "item_id", "distance", "n_item_words", "first_word", "end_word"])
-        return rows.mapInArrow(run, kind)
+        return rows.mapInArrow(returning(run), kind)
 
     parts = item_blocks(items, item_col, item_text_col)
     first, second = next(parts, None), next(parts, None)
@@ -247,7 +247,7 @@ def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: s
                 for block in blocks(batch.column(place)):
                     keep[[block.first + f[0] for f in block_of_items.search(block)]] = False
                 yield batch.filter(pa.array(keep))
-        return rows.mapInArrow(run, schema)
+        return rows.mapInArrow(returning(run), schema)
 
     folder = None
     for number, part in enumerate(item_blocks(items, item_col, item_text_col)):

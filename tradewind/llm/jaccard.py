@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.components import components
-from tradewind.llm.words import blocks, mix, shingle_set, split_words
+from tradewind.llm.words import blocks, mix, returning, shingle_set, split_words
 from tradewind.session import scratch
 
 SHINGLE = 5
@@ -45,7 +45,7 @@ HUBS = 8                # members that all others are compared to first, in cell
 LEAF = 32               # points or boxes in a box of the tree
 MOST_PAIRS = 1 << 14    # pairs whose bounds are computed at once
 FILTER_BITS = (16, 27)  # size of the filter over candidate ids, as powers of two
-SEEN = 1 << 20          # sets a task remembers, to route each once
+SEEN = 1 << 16          # sets a task remembers, to route each once
 
 
 def needed(a, b):
@@ -402,7 +402,7 @@ class Join:
 
     def run(self) -> DataFrame:
         described = self._store(self.docs.mapInArrow(
-            _describe, f"doc_id {self.kind}, n long, node long, point binary, fine binary, part int, counts binary"), "described")
+            returning(_describe), f"doc_id {self.kind}, n long, node long, point binary, fine binary, part int, counts binary"), "described")
         rows = described.where(F.col("part").isNull()).select("doc_id", "n", "node", "point", "fine")
         # copies are one node, named by its smallest id; ids may be null only where all of a class are
         nodes = self._store(rows.where(F.col("node").isNotNull()).groupBy("node").agg(
@@ -425,7 +425,7 @@ class Join:
     def _levels(self, described: DataFrame) -> tuple[bytes, bytes]:
         """The frequency sketch of the corpus: fixed in size, summed by part in Spark."""
         parts = (described.where(F.col("part").isNotNull()).select("part", "counts")
-                 .repartition("part").sortWithinPartitions("part").mapInArrow(_add_parts, "part int, counts binary"))
+                 .repartition("part").sortWithinPartitions("part").mapInArrow(returning(_add_parts), "part int, counts binary"))
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         unpack = zstandard.ZstdDecompressor().decompress
         for row in parts.collect():  # 2**SKETCH_BITS / SKETCH_PART rows
@@ -435,9 +435,9 @@ class Join:
         return pack(level.tobytes()), pack(tiles.astype("<u4").tobytes())
 
     def _members(self, packed: tuple[bytes, bytes]) -> DataFrame:
-        routed = self.docs.select("doc_id", "text").mapInArrow(_route(packed), "cell long, node long, n int")
+        routed = self.docs.select("doc_id", "text").mapInArrow(returning(_route(packed)), "cell long, node long, n int")
         return self._store(routed.repartition("cell").sortWithinPartitions("cell", "n", "node")
-                           .mapInArrow(_members, "cell long, hub long, node long, n int"), "cells")
+                           .mapInArrow(returning(_members), "cell long, hub long, node long, n int"), "cells")
 
     def _close(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         """Pairs of nodes as pairs of ids, without those that the bound rules out."""
@@ -447,7 +447,7 @@ class Join:
         fits = (100 * F.col("n_x") >= PERCENT * F.col("n_y")) & (100 * F.col("n_y") >= PERCENT * F.col("n_x"))
         return (both.where(fits).select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"),
                                         "n_x", "n_y", "point_x", "point_y")
-                .mapInArrow(_bounded, f"a {self.kind}, b {self.kind}"))
+                .mapInArrow(returning(_bounded), f"a {self.kind}, b {self.kind}"))
 
     def _candidates(self, cells: DataFrame, nodes: DataFrame, known: DataFrame) -> DataFrame:
         """Pairs that the tree finds among members of a cell that are not connected yet."""
@@ -464,7 +464,7 @@ class Join:
         return (cells.join(nodes, "node").join(firsts, "node")
                 .select("cell", "n", "id", "group", "point", "firsts")
                 .repartition("cell").sortWithinPartitions("cell", "n")
-                .mapInArrow(_search, f"a {self.kind}, b {self.kind}").distinct())
+                .mapInArrow(returning(_search), f"a {self.kind}, b {self.kind}").distinct())
 
     def _linked(self, pairs: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
         """The pairs that link. Only texts of documents in some pair are moved."""
@@ -473,13 +473,13 @@ class Join:
                                      F.col("fine").alias(f"fine_{c}"))
         pairs = (pairs.where("a <> b").join(side("a"), "a", "left").join(side("b"), "b", "left")
                  .select("a", "b", "n_a", "n_b", "fine_a", "fine_b")
-                 .mapInArrow(_finer, f"a {self.kind}, b {self.kind}"))
+                 .mapInArrow(returning(_finer), f"a {self.kind}, b {self.kind}"))
         pairs = self._store(pairs.distinct(), f"pairs-{name}")
         ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         texts = self._store(self._texts(ids), f"texts-{name}")
         return (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
                 .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-                .select("a", "b", "text_a", "text_b").mapInArrow(_verify, f"a {self.kind}, b {self.kind}").distinct())
+                .select("a", "b", "text_a", "text_b").mapInArrow(returning(_verify), f"a {self.kind}, b {self.kind}").distinct())
 
     def _texts(self, ids: DataFrame) -> DataFrame:
         """Texts of some ids: a filter of fixed size drops most other rows before the shuffle."""
@@ -498,12 +498,14 @@ class Join:
         packed = zstandard.ZstdCompressor().compress(np.packbits(flags).tobytes())
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known = np.unpackbits(np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)).astype(bool)
+            known = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
             for batch in batches:
-                yield batch.filter(pa.array(known[batch.column(2).to_numpy()])).select(["doc_id", "text"])
+                p = batch.column(2).to_numpy()
+                held = known[p >> 3] >> (7 - (p & 7)).astype(np.uint8) & 1
+                yield batch.filter(pa.array(held.astype(bool))).select(["doc_id", "text"])
 
         maybe = self.docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text", place.alias("p")) \
-            .mapInArrow(run, f"doc_id {self.kind}, text string")
+            .mapInArrow(returning(run), f"doc_id {self.kind}, text string")
         return maybe.join(ids, "doc_id", "left_semi").distinct()
 
 

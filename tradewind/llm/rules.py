@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.words import blocks, split_words, windows
+from tradewind.llm.words import blocks, returning, split_words, windows
 
 REPEAT_WORDS = 8
 
@@ -129,7 +129,7 @@ def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """
     kind = docs.schema[id_col].dataType.simpleString()
     return (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-            .mapInArrow(_measure, f"doc_id {kind}, {SCHEMA}"))
+            .mapInArrow(returning(_measure), f"doc_id {kind}, {SCHEMA}"))
 
 
 def keep(docs: DataFrame, policy: Policy, text_col: str = "text") -> DataFrame:
@@ -147,7 +147,7 @@ def keep(docs: DataFrame, policy: Policy, text_col: str = "text") -> DataFrame:
                 failed = np.concatenate([j.column("failed").to_numpy() for j in judged])
                 yield batch.filter(pa.array(failed & mask == 0))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(returning(run), docs.schema)
 
 
 def decide(rows: DataFrame, policy: Policy) -> DataFrame:

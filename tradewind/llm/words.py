@@ -6,7 +6,8 @@ its own. Memory is therefore about 50 bytes for each byte of the block or of the
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,6 +50,19 @@ def _powers(n: int) -> np.ndarray:
     return _POWERS
 
 
+def returning(run: Callable) -> Callable:
+    """The task function, which hands free memory back when a task ends: Python workers live on, for other stages."""
+    def task(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim is not None:
+                trim(0)
+    return task
+
+
 @dataclass
 class Block:
     """Some texts of a batch: rows ``first`` to ``last``, their bytes, and where each begins."""
