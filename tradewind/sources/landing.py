@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradewind.sources import multiline as records
+
 CSV_TEXT = {"header": True, "escape": '"'}
 
 
@@ -19,12 +21,14 @@ class MissingFiles(Exception):
 
 
 def read_text_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """A CSV file with every column as the text it holds.
+    """A CSV file, or a folder of such files, with every column as the text it holds.
 
-    Free text that spans lines needs ``multiline``, which reads each file in one
-    task; deliver such tables as many files.
+    Free text that spans lines needs ``multiline``; such files too are read by many tasks.
     """
-    return spark.read.options(**CSV_TEXT, multiLine=multiline).csv(path)
+    if not multiline:
+        return spark.read.options(**CSV_TEXT).csv(path)
+    fields = spark.read.options(**CSV_TEXT, multiLine=True).csv(path).columns
+    return records.parsed(records.records(spark, [path]), fields, "__malformed").drop("__path", "__malformed")
 
 
 def prepare_landing(spark: SparkSession, csv_by_table: Mapping[str, str], out_dir: str,

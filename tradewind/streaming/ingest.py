@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from tradewind.functions import columns as X
 from tradewind.plans.silver import INGESTED, SOURCE
+from tradewind.sources import multiline
 from tradewind.sources.landing import CSV_TEXT, rescue_cast, rescue_types
 from tradewind.streaming.progress import run_to_end
 
@@ -201,13 +202,21 @@ class _CsvReader:
         self.fixed = schema
 
     def _infer(self, paths: Sequence[str]) -> T.StructType:
+        if self.options["multiLine"]:
+            found = multiline.records(self.spark, paths, self.options["basePath"])
+            fields = self.spark.read.options(**CSV_TEXT, multiLine=True).csv(paths[0]).columns
+            folders = [f for f in found.schema.fields if not f.name.startswith("__")]
+            texts = multiline.parsed(found, fields, MALFORMED)
+            if self.sampling < 1:
+                texts = texts.sample(self.sampling, seed=0)
+            return T.StructType([*multiline.infer(texts, fields).fields, *folders])
         return self.spark.read.options(
             **self.options, inferSchema=True, samplingRatio=self.sampling).csv(paths).schema
 
     def read_usual(self, paths: Sequence[str]) -> DataFrame | None:
         """All files under the known columns in one pass; Spark rejects any other header."""
         known = self.fixed or load_schema(self.spark, self.checkpoint)
-        if known is None:
+        if known is None or self.options["multiLine"]:
             return None
         listed = self.spark.read.options(**self.options).csv(list(paths)).columns
         header = [c for c in listed if c in known.names]
@@ -258,10 +267,14 @@ class _CsvReader:
                                            multiLine=self.options["multiLine"]).csv(paths[0])
         fields = [c for c in header if c in in_files.columns]  # the others come from folders
         texts = T.StructType([T.StructField(c, T.StringType()) for c in [*fields, MALFORMED]])
-        rows = (self.spark.read.schema(texts)
-                .options(**self.options, columnNameOfCorruptRecord=MALFORMED,
-                         enforceSchema=not check)
-                .csv(list(paths)).withColumn(SOURCE, F.col("_metadata.file_path")))
+        if self.options["multiLine"]:  # by many tasks, also within a file
+            found = multiline.records(self.spark, paths, self.options["basePath"])
+            rows = multiline.parsed(found, fields, MALFORMED).withColumnRenamed("__path", SOURCE)
+        else:
+            rows = (self.spark.read.schema(texts)
+                    .options(**self.options, columnNameOfCorruptRecord=MALFORMED,
+                             enforceSchema=not check)
+                    .csv(list(paths)).withColumn(SOURCE, F.col("_metadata.file_path")))
         if not self.rescue:
             return rescue_cast(rows, known, RESCUED, MALFORMED).drop(RESCUED)
         return rescue_cast(rows, known, RESCUED, MALFORMED)
