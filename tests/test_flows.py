@@ -1,5 +1,7 @@
 """Change flows over many batches, other bucket counts, restores and rules; the stages as whole runs."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,3 +122,70 @@ def test_incremental_fills_an_empty_target(spark):
     assert C.incremental(source.limit(0), source, ["k"], "at").count() == 2
     filled = C.incremental(source.filter("k = 1"), source, ["k"], "at")
     assert sorted(tuple(r) for r in filled.collect()) == [(1, 5)]
+
+
+def test_timely_changes_extend_open_versions_without_the_history(spark, tmp_path):
+    table = Table(spark, tmp_path, 2)
+    table.apply([(k, 1, f"a{k}") for k in range(6)] + [(None, 1, "n")], buckets=4)
+    (tmp_path / "silver_changes").rename(tmp_path / "away")  # nothing may need what came before
+    table.apply([(0, 2, "a0"), (0, 3, "b"), (1, 5, None), (2, 2, "c"), (9, 1, "new"), (None, 4, "m")])
+    got = {(r.k, r.v, r[C.START], r[C.END], r.s) for r in flows.read_type2(spark, table.target).collect()}
+    assert got == {(0, "a0", 1, 3, 2), (0, "b", 3, None, 3), (1, "a1", 1, None, 5), (2, "a2", 1, 2, 1), (2, "c", 2, None, 2),
+                   (3, "a3", 1, None, 1), (4, "a4", 1, None, 1), (5, "a5", 1, None, 1), (9, "new", 1, None, 1),
+                   (None, "n", 1, 4, 1), (None, "m", 4, None, 4)}
+
+
+def test_late_and_timely_changes_give_what_all_at_once_give(spark, tmp_path):
+    rng = random.Random(3)
+    spec = ChangeTable(["k"], [], ["v"], sequence_by="s", track_except=["w"])
+    row = lambda low, high: (rng.choice([None, *range(6)]), rng.randrange(low, high), rng.choice(["a", "b", None]),
+                             rng.choice([None, rng.randrange(9)]))
+    parts = [[row(0, 20) for _ in range(40)], [row(20, 30) for _ in range(15)], [row(5, 50) for _ in range(12)]]
+    shape = "k long, s long, v string, w int"
+    for n, part in enumerate(parts):
+        spark.createDataFrame(part, shape).coalesce(1).write.mode("append").parquet(f"{tmp_path}/b")
+        flows.change_flow(spark, f"{tmp_path}/b", lambda df: df, spec, f"{tmp_path}/t", f"{tmp_path}/ck", 2, buckets=4,
+                          max_rows_per_key=1000 if n < 2 else 3)
+    everything = spark.createDataFrame([r for p in parts for r in p], shape)
+    want = C.scd2(everything, ["k"], "s", ["w"], ignore_null_updates=True)
+    columns = ["k", "s", "v", "w", C.START, C.END]
+    show = lambda df: sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+    assert show(flows.read_type2(spark, f"{tmp_path}/t")) == show(want)
+
+
+def test_a_growing_table_gets_more_buckets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(flows, "ROWS_PER_BUCKET", 2)
+    table = Table(spark, tmp_path)
+    table.apply([(k, 1, "a") for k in range(40)], buckets=4)
+    table.apply([(1, 2, "b")])
+    assert V.newest(spark, table.target).bucket_count == flows.buckets_for(40) == 32
+    assert V.newest(spark, table.target).total == 40 and (1, 2, "b") in table.rows()
+
+
+def test_states_hold_one_order_a_row_and_merge_in_any_split(spark):
+    """Also when a column is added after a newer row was stored without it."""
+    rows = [(1, 1, "a", "x"), (1, 3, None, "y"), (1, 2, "b", None), (2, 5, None, None), (2, 4, "c", None)]
+    df = spark.createDataFrame(rows, "k long, s long, v string, w string")
+    whole = C.scd1(df, ["k"], "s", ignore_null_updates=True)
+    assert sorted(tuple(r) for r in whole.collect()) == [(1, 3, "b", "y"), (2, 5, "c", None)]
+    state = lambda part: C.scd1_state(part, ["k"], "s", ignore_null_updates=True)
+    merged = C.merge_states(state(df.filter("s % 2 = 0")).union(state(df)).union(state(df.filter("s > 2"))), ["k"])
+    assert sorted(tuple(r) for r in C.scd1_rows(merged, ["k"]).select("k", "s", "v", "w").collect()) == [(1, 3, "b", "y"), (2, 5, "c", None)]
+    narrow = state(spark.createDataFrame([(1, 9, "new")], "k long, s long, v string"))
+    both = C.split_incomplete(narrow.unionByName(state(df), allowMissingColumns=True), ["k"])
+    wide = C.scd1_rows(C.merge_states(both, ["k"]), ["k"]).select("k", "s", "v", "w")
+    assert sorted(tuple(r) for r in wide.collect()) == [(1, 9, "new", "y"), (2, 5, "c", None)]
+
+
+def test_inserts_of_a_changing_table_arrive_once(spark, tmp_path):
+    table = Table(spark, tmp_path)
+    read = lambda df: C.scd1_rows(df, ["k"])
+    take = lambda: flows.insert_flow(spark, table.target, ["k"], f"{tmp_path}/new", f"{tmp_path}/ck-new", read)
+    seen = lambda: sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/new").select("k", "s", "v").collect())
+    table.apply([(k, 1, "a") for k in range(3)], buckets=4)
+    assert take() == [0] and seen() == [(k, 1, "a") for k in range(3)]
+    table.apply([(0, 2, "changed"), (7, 2, "added")])
+    V.restore(spark, table.target, 0)
+    V.rebucket(spark, table.target, 8)
+    assert take() == [1, 3] and seen() == [*[(k, 1, "a") for k in range(3)], (7, 2, "added")]
+    assert take() == []
