@@ -352,6 +352,26 @@ def _(t):
                                                "seller_id")
 
 
+@query("a22_packed_parts", """
+    select order_id, order_item_id, product_id, seller_id, true as others_kept from s_order_items""")
+def _(t):
+    """Parts with several small files are packed; those with one keep theirs."""
+    path = scratch(t.spark, "packed-parts")
+    rows = t.order_items.select("order_id", "order_item_id", "product_id", "seller_id")
+    part = F.pmod("seller_id", F.lit(4))
+    V.publish(rows, path, "create", part=part)
+    first = V.newest(t.spark, path).placed
+    for k in (0, 1):  # two parts come in many files
+        crowded = V.as_of_version(t.spark, path, buckets=[k]).repartition(6)
+        folder = f"{path}/data/version={first[k]}/{V.BUCKET}={k}"
+        crowded.write.parquet(f"{path}/crowded-{k}")
+        t.spark.read.parquet(f"{path}/crowded-{k}").repartition(6).write.mode("overwrite").parquet(folder)
+    packed = V.pack(t.spark, path)
+    placed = V.newest(t.spark, path).placed
+    kept = packed == [0, 1] and all(placed[k] == first[k] for k in (2, 3)) and all(placed[k] > first[k] for k in packed)
+    return V.as_of_version(t.spark, path).withColumn("others_kept", F.lit(kept))
+
+
 # --- L partitioning and caching ---------------------------------------------------
 
 @query("l1_cached_two_actions", """

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.functions import columns as X
-from tradewind.operators.cuts import quantile_piece
+from tradewind.operators.cuts import quantile_pieces
 
 COMPACT_BYTES = 1 << 30
 
@@ -53,11 +53,10 @@ def z_bits(files: int, columns: int) -> int:
 
 def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
     """Interleaved bits of each column's position; text columns take a hash for position."""
-    def position(name: str) -> Column:
-        if isinstance(df.schema[name].dataType, T.StringType):
-            return F.pmod(F.xxhash64(name), F.lit(1 << bits))
-        return quantile_piece(df, name, 1 << bits)
-    pieces = [position(c).cast("long") for c in columns]
+    texts = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
+    found = quantile_pieces(df, [c for c in columns if c not in texts], 1 << bits)
+    found |= {c: F.pmod(F.xxhash64(c), F.lit(1 << bits)) for c in texts}
+    pieces = [found[c].cast("long") for c in columns]
     z = F.lit(0).cast("long")
     for bit in range(bits):
         for i, piece in enumerate(pieces):
@@ -80,7 +79,7 @@ def compact(spark: SparkSession, path: str, out_path: str, zorder_by: Sequence[s
         shaped = (keyed.repartitionByRange(files, "__z", F.xxhash64(*df.columns))
                   .sortWithinPartitions("__z").drop("__z"))
     elif zorder_by:
-        shaped = df.repartitionByRange(files, *zorder_by).sortWithinPartitions(*zorder_by)
+        shaped = df.repartitionByRange(files, *zorder_by, F.xxhash64(*df.columns)).sortWithinPartitions(*zorder_by)
     else:
         shaped = df.repartition(files)
     shaped.write.mode("overwrite").parquet(out_path)

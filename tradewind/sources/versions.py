@@ -130,7 +130,7 @@ def publish(df: DataFrame, path: str, operation: str, keys: Sequence[str] = (),
     applied = dict(last.applied or {}) if last is not None else {}
     if flow is not None:
         applied[flow] = batch_id
-    body = df.schema
+    body = T.StructType([f for f in df.schema.fields if f.name != BUCKET])
     if last is not None and not whole:
         body = T.StructType([*body.fields, *[f for f in _body(last).fields if f.name not in body.names]])
     _list_version(spark, path, (version, None, operation, rows, total, flow, batch_id, list(keys), buckets, restored,
@@ -155,7 +155,7 @@ def version_at(spark: SparkSession, path: str, moment: str) -> int | None:
 
 def as_of_version(spark: SparkSession, path: str, version: int | None = None,
                   buckets: Sequence[int] | None = None, moment: str | None = None,
-                  known: Row | None = None) -> DataFrame | None:
+                  known: Row | None = None, with_part: bool = False) -> DataFrame | None:
     """The table at a version or an instant (default: latest), or only some of its parts.
 
     None when there is nothing to read yet. Of the list, only one row comes to
@@ -177,7 +177,8 @@ def as_of_version(spark: SparkSession, path: str, version: int | None = None,
     if not folders:
         return spark.createDataFrame([], schema)
     base = os.path.join(path, "data")
-    return spark.read.schema(schema).option("basePath", base).parquet(*folders).select(*schema.names)
+    rows = spark.read.schema(schema).option("basePath", base).parquet(*folders)
+    return rows.select(*schema.names, *([BUCKET] if with_part else []))
 
 
 def live_batches(spark: SparkSession, path: str) -> DataFrame:
@@ -230,3 +231,34 @@ def rebucket(spark: SparkSession, path: str, buckets: int) -> int:
     """Publishes the newest version in another number of buckets."""
     keys, _ = bucketing(spark, path)
     return publish(as_of_version(spark, path), path, f"rebucket {buckets}", keys, buckets)
+
+
+def pack(spark: SparkSession, path: str, target_bytes: int = 1 << 30, small: float = 0.5) -> list[int]:
+    """Rewrites the parts of a table that have several small files; returns their numbers.
+
+    A file is small below ``small`` of the target. The files of all other parts
+    keep their names. What is to be done follows from the listing of the files
+    alone, and readers see the packed parts from the moment they are published.
+    """
+    known = newest(spark, path)
+    if known is None or UNPARTED in known.placed:
+        return []
+    folders = [os.path.join(_files(path, v), f"{BUCKET}={b}") for b, v in sorted(known.placed.items())]
+    if not folders:
+        return []
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
+             .load(folders).select(F.regexp_extract("path", f"/{BUCKET}=(\\d+)/", 1).cast("int").alias("part"), "length"))
+    crowded = files.groupBy("part").agg(F.count_if(F.col("length") < small * target_bytes).alias("n")).filter("n > 1")
+    parts = sorted(r.part for r in crowded.select("part").collect())  # one number a part
+    if parts:
+        size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+        before = spark.conf.get(size, None)
+        try:
+            spark.conf.set(size, str(target_bytes))
+            rows = as_of_version(spark, path, buckets=parts, known=known, with_part=True)
+            replaced = Observation()
+            publish(rows.observe(replaced, X.rows().alias("rows")), path, "pack", known["keys"], known.bucket_count, parts,
+                    replaced=replaced, part=F.col(BUCKET))
+        finally:
+            spark.conf.unset(size) if before is None else spark.conf.set(size, before)
+    return parts
