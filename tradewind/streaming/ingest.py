@@ -250,14 +250,27 @@ class _CsvReader:
         return self.spark.read.options(**self.options).csv(paths[0]).columns
 
     def _by_header(self, paths: Sequence[str]) -> dict[tuple, list[str]]:
-        """Files by header line: the first line of each file, found in one text scan."""
-        lines = self.spark.read.text(list(paths)).select(
-            F.col("_metadata.file_path").alias("path"), "value",
-            F.struct(F.col("_metadata.file_block_start"),
-                     F.monotonically_increasing_id()).alias("at"))
-        firsts = lines.groupBy("path").agg(F.min_by("value", "at").alias("header"))
+        """Files by header line: a task for each file, which stops at the first line."""
+        one_file_each = {"spark.sql.files.maxPartitionBytes": str(1 << 40), "spark.sql.files.openCostInBytes": str(1 << 40)}
+        before = {k: self.spark.conf.get(k) for k in one_file_each}
+
+        def first(batches):
+            for batch in batches:
+                if batch.num_rows:
+                    yield batch.slice(0, 1)
+                    return
+
+        try:
+            for k, v in one_file_each.items():
+                self.spark.conf.set(k, v)
+            lines = self.spark.read.text(list(paths)).select(
+                F.col("_metadata.file_path").alias("path"), F.col("value").alias("header"))
+            firsts = lines.mapInArrow(first, "path string, header string").collect()  # one row per file of the batch
+        finally:
+            for k, v in before.items():
+                self.spark.conf.set(k, v)
         groups: dict[str, list[str]] = {}
-        for row in firsts.orderBy("path").collect():  # one row per file of the batch
+        for row in sorted(firsts):
             groups.setdefault(row.header, []).append(row.path)
         return {tuple(self._names(group)): group for group in groups.values()}
 
