@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -189,3 +190,17 @@ def test_inserts_of_a_changing_table_arrive_once(spark, tmp_path):
     V.rebucket(spark, table.target, 8)
     assert take() == [1, 3] and seen() == [*[(k, 1, "a") for k in range(3)], (7, 2, "added")]
     assert take() == []
+
+
+def test_parts_of_a_type2_table_are_sorted_by_their_cluster_columns(spark, tmp_path):
+    """Also after batches that touch only some of them: every file holds its rows in that order."""
+    spec = ChangeTable(["k"], [], ["v", "k"], sequence_by="s")
+    table = Table(spark, tmp_path, 2, spec)
+    table.apply([(k, 1, f"v{k % 7}") for k in range(60)], buckets=4)
+    table.apply([(k, 2, f"v{k % 5}") for k in range(0, 60, 9)])
+    table.apply([(3, 3, "v0")])
+    known = V.newest(spark, table.target)
+    for part, version in known.placed.items():
+        for name in (tmp_path / "silver" / "data" / f"version={version}" / f"{V.BUCKET}={part}").glob("*.parquet"):
+            held = [(r["v"], r["k"]) for r in pq.read_table(name).to_pylist()]
+            assert held == sorted(held) and held

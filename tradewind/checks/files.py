@@ -732,11 +732,21 @@ def _(t):
         F.sum("violations").alias("violations"))
 
 
+CHANGE_RUNS: dict[tuple[str, str], tuple[str, dict[str, DataFrame]]] = {}
+
+
 def change_layers(t) -> tuple[str, dict[str, DataFrame]]:
-    """Files to bronze, bronze to silver through change flows, silver to gold, in one run.
+    """Files to bronze, bronze to silver through change flows, silver to gold, in one run a session.
 
     Of lines and reviews that repeat their key one is delivered, the last.
     """
+    run = (t.spark.sparkContext.applicationId, t.folder)
+    if run not in CHANGE_RUNS:
+        CHANGE_RUNS[run] = _change_layers(t)
+    return CHANGE_RUNS[run]
+
+
+def _change_layers(t) -> tuple[str, dict[str, DataFrame]]:
     root = scratch(t.spark, "change-layers")
     landed = landed_tables(t)
     del landed["order_payments"]
