@@ -204,3 +204,13 @@ def test_parts_of_a_type2_table_are_sorted_by_their_cluster_columns(spark, tmp_p
         for name in (tmp_path / "silver" / "data" / f"version={version}" / f"{V.BUCKET}={part}").glob("*.parquet"):
             held = [(r["v"], r["k"]) for r in pq.read_table(name).to_pylist()]
             assert held == sorted(held) and held
+
+
+@pytest.mark.parametrize("scd_type", [1, 2])
+def test_a_batch_into_parts_that_hold_nothing(spark, tmp_path, scd_type):
+    table = Table(spark, tmp_path, scd_type)
+    part = {r.k: r.b for r in spark.range(20).select(F.col("id").alias("k"), V.X.key_bucket(["id"], 16).alias("b")).collect()}
+    other = next(k for k in part if part[k] != part[0])
+    table.apply([(0, 1, "a")], buckets=16)
+    table.apply([(other, 1, "b")])
+    assert table.rows() == [(0, 1, "a"), (other, 1, "b")] and V.newest(spark, table.target).total == 2
