@@ -214,3 +214,16 @@ def test_a_batch_into_parts_that_hold_nothing(spark, tmp_path, scd_type):
     table.apply([(0, 1, "a")], buckets=16)
     table.apply([(other, 1, "b")])
     assert table.rows() == [(0, 1, "a"), (other, 1, "b")] and V.newest(spark, table.target).total == 2
+
+
+def test_late_changes_of_every_stored_key_keep_the_total(spark, tmp_path):
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = Table(spark, tmp_path, 2)
+        table.apply([(k, 5, "a") for k in range(40)], buckets=4)
+        table.apply([(k, 1, "early") for k in range(40)])
+        assert table.rows() == sorted([(k, 1, "early") for k in range(40)] + [(k, 5, "a") for k in range(40)])
+        assert V.newest(spark, table.target).total == 80
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)

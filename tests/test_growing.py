@@ -77,3 +77,20 @@ def test_closed_rows_are_written_once(spark, tmp_path):
                               ["k"], ["s"], F.current_timestamp())
     V.restore(spark, path, 0)
     assert {r[1] for r in rows(V.as_of_version(spark, path))} == {"new"}
+
+
+def test_totals_hold_where_adaptive_execution_drops_empty_branches(spark, tmp_path):
+    path, was = str(tmp_path / "t"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keyed = spark.range(100).withColumnRenamed("id", "k")
+        V.publish(keyed, path, "create", ["k"], 4)
+        known = V.newest(spark, path)
+        nothing = V.as_of_version(spark, path, known=known).join(keyed.repartition(3), "k", "left_anti")
+        V.publish(nothing.repartition("k"), path, "delete", ["k"], 4, [0, 1])
+        left = V.as_of_version(spark, path).count()
+        assert V.newest(spark, path).total == left < 100 and sorted(V.newest(spark, path).placed) == [2, 3]
+        V.publish(nothing, path, "clear", ["k"], 4)
+        assert V.newest(spark, path).total == 0 and V.as_of_version(spark, path).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,15 +90,15 @@ def buckets_in(bits: bytes | None) -> list[int]:
 def publish(df: DataFrame, path: str, operation: str, keys: Sequence[str] = (),
             buckets: int = 0, touched: Sequence[int] | None = None,
             flow: str | None = None, batch_id: int | None = None,
-            restored: int | None = None, replaced: Observation | None = None,
-            cluster_by: Sequence[str] = (), part: Column | None = None) -> int:
+            restored: int | None = None, cluster_by: Sequence[str] = (), part: Column | None = None) -> int:
     """Writes the rows as the next version, or as that version's touched parts.
 
     A row's part is its bucket of the keys, or the number that ``part`` gives.
     Keys and number of buckets are stored with each version. Only a whole
-    version may change them (see ``rebucket``). ``replaced`` has observed, as
-    ``rows``, the stored rows that the touched parts held before. Within a
-    part's files rows are sorted by ``cluster_by``.
+    version may change them (see ``rebucket``). Within a part's files rows are
+    sorted by ``cluster_by``. Rows are counted in the stored files, of which only
+    the footers are read: metrics observed on the way are lost where adaptive
+    execution drops a branch that turns out to be empty.
     """
     spark = df.sparkSession
     last = newest(spark, path)
@@ -106,31 +106,33 @@ def publish(df: DataFrame, path: str, operation: str, keys: Sequence[str] = (),
         raise BucketMismatch(f"the table has {(last['keys'], last.bucket_count)}, not {(list(keys), buckets)}")
     version = 0 if last is None else last.version + 1
     whole = touched is None or last is None
-    written = Observation()
+    body = T.StructType([f for f in df.schema.fields if f.name != BUCKET])
     placed = {UNPARTED: version}
     if part is None and buckets:
         part = X.key_bucket(keys, buckets)
     if part is not None:
         if buckets > MOST_BUCKETS:
             raise ValueError(f"at most {MOST_BUCKETS} buckets")
-        parted = df.withColumn(BUCKET, part.cast("int")).observe(
-            written, X.rows().alias("rows"), bucket_bits(F.col(BUCKET)).alias("bits")).hint("rebalance", BUCKET)
+        parted = df.withColumn(BUCKET, part.cast("int")).hint("rebalance", BUCKET)
         order = [c for c in cluster_by if c in df.columns and not isinstance(df.schema[c].dataType, T.StructType)]
         if order:
             parted = parted.sortWithinPartitions(BUCKET, *order)
         parted.write.mode("overwrite").partitionBy(BUCKET).parquet(_files(path, version))
-        present = buckets_in(written.get["bits"])
+        stored = (spark.read.schema(T.StructType([*body.fields, T.StructField(BUCKET, T.IntegerType())]))
+                  .parquet(_files(path, version)))
+        present = {r[BUCKET]: r.n for r in stored.groupBy(BUCKET).agg(X.rows().alias("n")).collect()}  # a row a part
+        rows = sum(present.values())
         placed = {} if whole else {b: v for b, v in last.placed.items() if b not in set(touched)}
         placed.update((b, version) for b in present)
     else:
-        df.observe(written, X.rows().alias("rows")).write.mode("overwrite").parquet(_files(path, version))
-    rows = written.get["rows"]
-    total = rows if whole else (None if replaced is None or last.total is None
-                                else last.total - replaced.get.get("rows", 0) + rows)
+        df.write.mode("overwrite").parquet(_files(path, version))
+        rows = spark.read.schema(body).parquet(_files(path, version)).count()
+    total = rows
+    if not whole:
+        total = None if last.total is None else last.total - as_of_version(spark, path, buckets=touched, known=last).count() + rows
     applied = dict(last.applied or {}) if last is not None else {}
     if flow is not None:
         applied[flow] = batch_id
-    body = T.StructType([f for f in df.schema.fields if f.name != BUCKET])
     if last is not None and not whole:
         body = T.StructType([*body.fields, *[f for f in _body(last).fields if f.name not in body.names]])
     _list_version(spark, path, (version, None, operation, rows, total, flow, batch_id, list(keys), buckets, restored,
@@ -256,9 +258,7 @@ def pack(spark: SparkSession, path: str, target_bytes: int = 1 << 30, small: flo
         try:
             spark.conf.set(size, str(target_bytes))
             rows = as_of_version(spark, path, buckets=parts, known=known, with_part=True)
-            replaced = Observation()
-            publish(rows.observe(replaced, X.rows().alias("rows")), path, "pack", known["keys"], known.bucket_count, parts,
-                    replaced=replaced, part=F.col(BUCKET))
+            publish(rows, path, "pack", known["keys"], known.bucket_count, parts, part=F.col(BUCKET))
         finally:
             spark.conf.unset(size) if before is None else spark.conf.set(size, before)
     return parts

@@ -6,7 +6,7 @@ import os
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions import columns as X
@@ -168,38 +168,31 @@ def change_flow(spark: SparkSession, bronze: str, stage: Stage, spec: ChangeTabl
                     V.rebucket(spark, target, number)
                     known = V.newest(spark, target)
                 write = _apply_type1 if scd_type == 1 else _apply_type2
-                result, replaced = write(rows, touched, batch_id, number, known)
-                V.publish(result, target, f"scd{scd_type}", spec.keys, number, touched,
-                          flow, batch_id, replaced=replaced, cluster_by=spec.cluster_by)
+                V.publish(write(rows, touched, batch_id, number, known), target, f"scd{scd_type}", spec.keys, number,
+                          touched, flow, batch_id, cluster_by=spec.cluster_by)
             for name, violations in counts.items():
                 totals[name] += violations
         finally:
             staged.unpersist()
 
-    def _stored(touched: list[int], known: Row) -> tuple[DataFrame, Observation]:
-        replaced = Observation()
-        return (V.as_of_version(spark, target, buckets=touched, known=known)
-                .observe(replaced, X.rows().alias("rows"))), replaced
-
-    def _apply_type1(rows: DataFrame, touched: list[int] | None, batch_id: int, number: int, known: Row | None):
+    def _apply_type1(rows: DataFrame, touched: list[int] | None, batch_id: int, number: int, known: Row | None) -> DataFrame:
         arriving = changes.scd1_state(rows, spec.keys, spec.sequence_by, ignore_null_updates=True)
         if known is None:
-            return arriving, None
-        stored, replaced = _stored(touched, known)
+            return arriving
+        stored = V.as_of_version(spark, target, buckets=touched, known=known)
         both = changes.split_incomplete(
             stored.unionByName(arriving, allowMissingColumns=True), spec.keys)
-        return changes.merge_states(both, spec.keys), replaced
+        return changes.merge_states(both, spec.keys)
 
-    def _apply_type2(rows: DataFrame, touched: list[int] | None, batch_id: int, number: int, known: Row | None):
+    def _apply_type2(rows: DataFrame, touched: list[int] | None, batch_id: int, number: int, known: Row | None) -> DataFrame:
         """All versions of the touched buckets: those of the batch's keys extended or rebuilt, the others as stored."""
         keyed = rows.withColumn(V.BUCKET, X.key_bucket(spec.keys, number))
         (keyed.hint("rebalance", V.BUCKET).write.mode("overwrite").partitionBy(V.BUCKET)
          .parquet(os.path.join(_history(target), f"bucket_count={number}", f"batch_id={batch_id}")))
         options = {"track_except": spec.track_except, "ignore_null_updates": True}
         if known is None:
-            return changes.scd2(rows, spec.keys, spec.sequence_by, max_rows_per_key=max_rows_per_key, **options), None
-        # counted where it is read once: the others read the same folders
-        stored, replaced = _stored(touched, known)
+            return changes.scd2(rows, spec.keys, spec.sequence_by, max_rows_per_key=max_rows_per_key, **options)
+        stored = V.as_of_version(spark, target, buckets=touched, known=known)
         opened = changes.current(V.as_of_version(spark, target, buckets=touched, known=known))
         arriving = rows.select(*spec.keys).distinct()
         late = changes.late_keys(opened, rows, spec.keys, spec.sequence_by, max_rows_per_key)
@@ -210,7 +203,7 @@ def change_flow(spark: SparkSession, bronze: str, stage: Stage, spec: ChangeTabl
             extended = changes.extend_scd2(changes.same_keys(opened, arriving, spec.keys, "left_semi"), rows,
                                            spec.keys, spec.sequence_by, **options)
             others = _without_open(stored, arriving)
-            return others.unionByName(extended, allowMissingColumns=True), replaced
+            return others.unionByName(extended, allowMissingColumns=True)
         timely = changes.same_keys(arriving, late, spec.keys, "left_anti")
         extended = changes.extend_scd2(
             changes.same_keys(opened, timely, spec.keys, "left_semi"),
@@ -220,7 +213,7 @@ def change_flow(spark: SparkSession, bronze: str, stage: Stage, spec: ChangeTabl
             spec.sequence_by, max_rows_per_key=max_rows_per_key, **options)
         others = _without_open(changes.same_keys(stored, late, spec.keys, "left_anti"), timely)
         return (others.unionByName(extended, allowMissingColumns=True)
-                .unionByName(rebuilt, allowMissingColumns=True)), replaced
+                .unionByName(rebuilt, allowMissingColumns=True))
 
     def _without_open(stored: DataFrame, keys: DataFrame) -> DataFrame:
         """Stored versions that stay: closed ones, and open ones of other keys."""
