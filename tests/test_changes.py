@@ -157,3 +157,13 @@ def test_snapshot_opens_closes_and_keeps_vanished_keys(spark):
     got = {tuple(r) for r in third.collect()}
     assert got == {(1, "a", 1, at(1), at(3)), (1, "z", 5, at(3), None), (2, "b", 1, at(1), None),
                    (3, None, 1, at(1), at(3)), (3, "c", 5, at(3), None), (4, "d", 5, at(3), None)}
+
+
+def test_short_stretches_share_tasks(spark):
+    rows = spark.range(3000).selectExpr("id % 3 as k", "id as s", "cast(id as string) as v")
+    cut = C._stretches(rows, ["k"], "s", 8).withColumn("piece", F.col("_metadata.file_path"))
+    found = cut.groupBy("k", "__part").agg(F.count("*").alias("n"), F.min("s").alias("a"), F.max("s").alias("b"))
+    assert found.agg(F.max("n")).first()[0] <= 4 and cut.select("piece").distinct().count() <= 2
+    following = sorted(tuple(r) for r in found.select("k", "__part", "a", "b").collect())
+    assert all(x[3] < y[2] for x, y in zip(following, following[1:]) if x[0] == y[0])
+    assert cut.count() == 3000

@@ -196,16 +196,21 @@ def _stored(rows: DataFrame) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+ROWS_PER_TASK = 250_000  # of a sorted piece: many short stretches share a task
+
+
 def _stretches(rows: DataFrame, keys: Sequence[str], seq: str, max_rows: int) -> DataFrame:
     """The rows with the number of their stretch, written once so that it cannot change.
 
-    A range shuffle over keys and sequence cuts each key by its own row count,
-    whatever the type of the sequence, into stretches of about half ``max_rows``;
-    their number grows with the rows and has no upper limit.
+    A range shuffle over keys and sequence cuts the rows into pieces of bounded
+    size, whatever the type of the sequence and the number of rows per key. Each
+    piece is sorted and cut into stretches of half ``max_rows``: their numbers
+    ascend with the running number of the row, whose upper bits are the piece's.
     """
     rows = _stored(rows)
-    pieces = max(2, math.ceil(2 * rows.count() / max_rows))
-    return _stored(rows.repartitionByRange(pieces, *keys, seq).withColumn("__part", F.spark_partition_id()))
+    pieces = max(2, math.ceil(rows.count() / ROWS_PER_TASK))
+    ranged = rows.repartitionByRange(pieces, *keys, seq).sortWithinPartitions(*keys, seq)
+    return _stored(ranged.withColumn("__part", F.floor(F.monotonically_increasing_id() / max(1, max_rows // 2))))
 
 
 SINCE = "__since"
@@ -278,8 +283,8 @@ class _Versions:
         known = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         earlier = (Window.partitionBy(*self.keys).orderBy("__part")
                    .rowsBetween(Window.unboundedPreceding, -1))
-        later = (Window.partitionBy(*self.keys).orderBy("__part")
-                 .rowsBetween(1, Window.unboundedFollowing))
+        later = (Window.partitionBy(*self.keys).orderBy(F.desc("__part"))  # a running frame; one that shrinks is quadratic
+                 .rowsBetween(Window.unboundedPreceding, -1))
 
         # what each stretch inherits: last known value of every column, or the last row
         if self.fill:
@@ -315,7 +320,7 @@ class _Versions:
                                          F.max("__start").alias("__last"))
         borders = borders.select(
             *cut, F.last("__last", ignorenulls=True).over(earlier).alias("__open"),
-            F.first("__first", ignorenulls=True).over(later).alias("__next"))
+            F.last("__first", ignorenulls=True).over(later).alias("__next"))
         runs = same_keys(rows, borders, cut, "inner").withColumn(
             "__run", F.coalesce(F.max("__start").over(known), F.col("__open")))
         ends = (runs.filter(F.col("__start").isNotNull())
