@@ -99,3 +99,23 @@ def test_one_hot_value_spreads_over_files(spark, tmp_path):
     report = layout.compact(spark, f"{tmp_path}/hot", f"{tmp_path}/packed", ["a", "b"], target_bytes=20_000).first()
     assert report["files"] >= 5
     assert layout.z_bits(1, 2) == 4 and layout.z_bits(100_000, 2) * 2 > 17
+
+
+def test_packing_again_does_nothing(spark, tmp_path):
+    """Rows that take far fewer bytes in files than in a shuffle still end in as few files as their bytes need."""
+    path = f"{tmp_path}/t"
+    rows = spark.range(200_000).select((F.xxhash64("id") % 8).alias("v"), (F.col("id") % 2).cast("int").alias("p"))
+    V.publish(rows, path, "create", part=F.col("p"))
+    crowded = spark.read.parquet(f"{path}/data/version=0/__bucket=0")
+    many = crowded.repartition(8).localCheckpoint()
+    many.write.mode("append").parquet(f"{path}/data/version=0/__bucket=0")
+    target = int(1.2 * layout.stored_bytes(spark, f"{path}/data/version=0/__bucket=0"))
+    assert V.pack(spark, path, target) == [0]
+    assert len(V.as_of_version(spark, path, buckets=[0]).inputFiles()) == 1
+    assert V.pack(spark, path, target) == [] and V.as_of_version(spark, path, buckets=[0]).count() == 200_000
+
+
+def test_a_compacted_file_is_small_enough_for_its_task(spark, tmp_path, monkeypatch):
+    spark.range(1000).selectExpr("id as a", "id % 7 as b").write.parquet(f"{tmp_path}/in")
+    monkeypatch.setattr(layout, "stored_bytes", lambda *_: 1 << 30)
+    assert layout.compact(spark, f"{tmp_path}/in", f"{tmp_path}/out", ["a", "b"]).first().files >= 8

@@ -360,12 +360,15 @@ def _(t):
     rows = t.order_items.select("order_id", "order_item_id", "product_id", "seller_id")
     part = F.pmod("seller_id", F.lit(4))
     V.publish(rows, path, "create", part=part)
+    V.pack(t.spark, path)  # a large table is written in several files a part
     first = V.newest(t.spark, path).placed
     for k in (0, 1):  # two parts come in many files
-        crowded = V.as_of_version(t.spark, path, buckets=[k]).repartition(6)
+        held = V.as_of_version(t.spark, path, buckets=[k])
+        many = 6 * len(held.inputFiles())
+        crowded = held.repartition(many)
         folder = f"{path}/data/version={first[k]}/{V.BUCKET}={k}"
         crowded.write.parquet(f"{path}/crowded-{k}")
-        t.spark.read.parquet(f"{path}/crowded-{k}").repartition(6).write.mode("overwrite").parquet(folder)
+        t.spark.read.parquet(f"{path}/crowded-{k}").repartition(many).write.mode("overwrite").parquet(folder)
     packed = V.pack(t.spark, path)
     placed = V.newest(t.spark, path).placed
     kept = packed == [0, 1] and all(placed[k] == first[k] for k in (2, 3)) and all(placed[k] > first[k] for k in packed)

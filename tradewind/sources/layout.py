@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tradewind.functions import columns as X
 from tradewind.operators.cuts import quantile_pieces
 
-COMPACT_BYTES = 1 << 30
+COMPACT_BYTES = 1 << 27  # of a file: one task reads, sorts and writes it, and its rows take several times the bytes of the file
 
 
 def write_by_month(df: DataFrame, ts: str, path: str, month: str = "purchase_month",

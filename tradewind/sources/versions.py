@@ -15,6 +15,7 @@ import json
 import os
 from collections.abc import Sequence
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.functions import columns as X
+from tradewind.sources.layout import COMPACT_BYTES
 
 BUCKET = "__bucket"
 UNPARTED = -1  # the one part of a table that is not split
@@ -90,13 +92,14 @@ def buckets_in(bits: bytes | None) -> list[int]:
 def publish(df: DataFrame, path: str, operation: str, keys: Sequence[str] = (),
             buckets: int = 0, touched: Sequence[int] | None = None,
             flow: str | None = None, batch_id: int | None = None,
-            restored: int | None = None, cluster_by: Sequence[str] = (), part: Column | None = None) -> int:
+            restored: int | None = None, cluster_by: Sequence[str] = (), part: Column | None = None, laid_out: bool = False) -> int:
     """Writes the rows as the next version, or as that version's touched parts.
 
     A row's part is its bucket of the keys, or the number that ``part`` gives.
     Keys and number of buckets are stored with each version. Only a whole
     version may change them (see ``rebucket``). Within a part's files rows are
-    sorted by ``cluster_by``. Rows are counted in the stored files, of which only
+    sorted by ``cluster_by``; ``laid_out`` rows are written by the tasks that
+    hold them. Rows are counted in the stored files, of which only
     the footers are read: metrics observed on the way are lost where adaptive
     execution drops a branch that turns out to be empty.
     """
@@ -113,7 +116,9 @@ def publish(df: DataFrame, path: str, operation: str, keys: Sequence[str] = (),
     if part is not None:
         if buckets > MOST_BUCKETS:
             raise ValueError(f"at most {MOST_BUCKETS} buckets")
-        parted = df.withColumn(BUCKET, part.cast("int")).hint("rebalance", BUCKET)
+        parted = df.withColumn(BUCKET, part.cast("int"))
+        if not laid_out:
+            parted = parted.hint("rebalance", BUCKET)
         order = [c for c in cluster_by if c in df.columns and not isinstance(df.schema[c].dataType, T.StructType)]
         if order:
             parted = parted.sortWithinPartitions(BUCKET, *order)
@@ -235,12 +240,14 @@ def rebucket(spark: SparkSession, path: str, buckets: int) -> int:
     return publish(as_of_version(spark, path), path, f"rebucket {buckets}", keys, buckets)
 
 
-def pack(spark: SparkSession, path: str, target_bytes: int = 1 << 30, small: float = 0.5) -> list[int]:
+def pack(spark: SparkSession, path: str, target_bytes: int = COMPACT_BYTES, small: float = 0.5) -> list[int]:
     """Rewrites the parts of a table that have several small files; returns their numbers.
 
-    A file is small below ``small`` of the target. The files of all other parts
-    keep their names. What is to be done follows from the listing of the files
-    alone, and readers see the packed parts from the moment they are published.
+    A file is small below ``small`` of the target. A part is left alone when its
+    bytes need as many files as it has, so that packing again does nothing. The
+    files of all other parts keep their names. What is to be done follows from
+    the listing of the files alone, and readers see the packed parts from the
+    moment they are published.
     """
     known = newest(spark, path)
     if known is None or UNPARTED in known.placed:
@@ -250,15 +257,17 @@ def pack(spark: SparkSession, path: str, target_bytes: int = 1 << 30, small: flo
         return []
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
              .load(folders).select(F.regexp_extract("path", f"/{BUCKET}=(\\d+)/", 1).cast("int").alias("part"), "length"))
-    crowded = files.groupBy("part").agg(F.count_if(F.col("length") < small * target_bytes).alias("n")).filter("n > 1")
-    parts = sorted(r.part for r in crowded.select("part").collect())  # one number a part
-    if parts:
-        size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-        before = spark.conf.get(size, None)
-        try:
-            spark.conf.set(size, str(target_bytes))
-            rows = as_of_version(spark, path, buckets=parts, known=known, with_part=True)
-            publish(rows, path, "pack", known["keys"], known.bucket_count, parts, part=F.col(BUCKET))
-        finally:
-            spark.conf.unset(size) if before is None else spark.conf.set(size, before)
-    return parts
+    crowded = (files.groupBy("part").agg(
+        F.count_if(F.col("length") < small * target_bytes).alias("small"), X.rows().alias("now"),
+        F.ceil(F.sum("length") / target_bytes).cast("int").alias("files")).filter("small > 1 and now > files"))
+    found = sorted((r.part, r.files) for r in crowded.select("part", "files").collect())  # a row a part
+    if found:
+        before = [0, *accumulate(n for _, n in found)]
+        slots = F.broadcast(spark.createDataFrame(
+            [(part, first, n) for (part, n), first in zip(found, before)], f"{BUCKET} int, __first int, __files int"))
+        rows = as_of_version(spark, path, buckets=[part for part, _ in found], known=known, with_part=True)
+        slot = F.col("__first") + F.pmod(F.xxhash64(*rows.columns), F.col("__files")).cast("int")
+        rows = rows.join(slots, BUCKET).repartitionById(before[-1], slot).drop("__first", "__files")
+        publish(rows, path, "pack", known["keys"], known.bucket_count, [part for part, _ in found], part=F.col(BUCKET),
+                laid_out=True)
+    return [part for part, _ in found]
