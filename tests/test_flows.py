@@ -1,6 +1,7 @@
 """Change flows over many batches, other bucket counts, restores and rules; the stages as whole runs."""
 
 import random
+import re
 
 import pyarrow.parquet as pq
 import pytest
@@ -227,3 +228,22 @@ def test_late_changes_of_every_stored_key_keep_the_total(spark, tmp_path):
         assert V.newest(spark, table.target).total == 80
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+@pytest.mark.parametrize("heavy", [False, True])
+def test_a_type1_batch_is_shuffled_once_and_its_changes_hold_their_order_once(spark, tmp_path, monkeypatch, heavy):
+    """Unless a key has very many changes, which are combined before they meet the stored ones."""
+    plans, publish, spec = [], V.publish, ChangeTable(["k"], [], [], sequence_by="s")
+    monkeypatch.setattr(V, "publish", lambda df, *a, **o: plans.append(
+        df._jdf.queryExecution().executedPlan().toString()) or publish(df, *a, **o))
+    table = Table(spark, tmp_path, 1, spec)
+    limit = {"max_rows_per_key": 0 if heavy else 1000}
+    table.apply([(k, 1, None if k % 2 else "a") for k in range(40)] + [(None, 1, "n")], buckets=4, **limit)
+    held = V.as_of_version(spark, table.target)
+    assert sorted(held.columns) == [C.HELD, "k"] and held.filter(F.size(C.HELD) != 1).isEmpty()
+    table.apply([(k, 2, None) for k in range(20)] + [(None, 2, None)] + [(0, 0, "late")] * 5, **limit)
+    got = {r[0]: r[1:] for r in map(tuple, flows.read_type1(spark, table.target, ["k"]).select("k", "s", "v").collect())}
+    assert got == {**{k: (2 if k < 20 else 1, None if k % 2 else "a") for k in range(40)}, None: (2, "n")}
+    assert [len(re.findall(r"\bExchange\b", plan)) for plan in plans] == ([2, 2] if heavy else [1, 1])
+    files = spark.read.parquet(f"{table.target}/data").select(F.input_file_name()).distinct().count()
+    assert files <= 8

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 from collections.abc import Callable, Sequence
 from functools import reduce
@@ -101,6 +102,9 @@ def insert_flow(spark: SparkSession, source: str, keys: Sequence[str], out_dir:
 
 ROWS_PER_BUCKET = 50_000_000
 LEAST_BUCKETS = 16
+PIECE = "__piece"
+ROWS_PER_PIECE = 250_000  # of a type 1 table: what one task sorts and writes to one file
+KEY_SLOTS = 1 << 12
 
 
 def buckets_for(rows: int) -> int:
@@ -123,8 +127,8 @@ def change_flow(spark: SparkSession, bronze: str, stage: Stage, spec: ChangeTabl
                 ) -> dict[str, int]:
     """Applies the new rows of a bronze table to a keyed table; returns the rule violations of this run.
 
-    A type 1 table stores, per key and column, the winning value and when it
-    won; a batch is merged into the buckets it touches. A type 2 table grows
+    A type 1 table stores, per key, the changes that its values come from; a
+    batch is merged into the buckets it touches. A type 2 table grows
     from its open versions: a batch is joined to those of its keys. Only keys
     with a late change, one that is not after all they have seen, are rebuilt
     from their changes, which are kept beside the table in the same buckets.
@@ -167,22 +171,34 @@ def change_flow(spark: SparkSession, bronze: str, stage: Stage, spec: ChangeTabl
                 if known is not None and number != known.bucket_count:
                     V.rebucket(spark, target, number)
                     known = V.newest(spark, target)
-                write = _apply_type1 if scd_type == 1 else _apply_type2
-                V.publish(write(rows, touched, batch_id, number, known), target, f"scd{scd_type}", spec.keys, number,
-                          touched, flow, batch_id, cluster_by=spec.cluster_by)
+                if scd_type == 1:
+                    written = _apply_type1(rows, touched, found["__rows"], number, known)
+                else:
+                    written = _apply_type2(rows, touched, batch_id, number, known)
+                V.publish(written, target, f"scd{scd_type}", spec.keys, number, touched, flow, batch_id,
+                          cluster_by=spec.cluster_by, laid_out=scd_type == 1)
             for name, violations in counts.items():
                 totals[name] += violations
         finally:
             staged.unpersist()
 
-    def _apply_type1(rows: DataFrame, touched: list[int] | None, batch_id: int, number: int, known: Row | None) -> DataFrame:
-        arriving = changes.scd1_state(rows, spec.keys, spec.sequence_by, ignore_null_updates=True)
-        if known is None:
-            return arriving
-        stored = V.as_of_version(spark, target, buckets=touched, known=known)
-        both = changes.split_incomplete(
-            stored.unionByName(arriving, allowMissingColumns=True), spec.keys)
-        return changes.merge_states(both, spec.keys)
+    def _apply_type1(rows: DataFrame, touched: list[int] | None, arrived: int, number: int, known: Row | None) -> DataFrame:
+        """New and held changes meet in one shuffle, whose pieces are parts of buckets and are written as they are."""
+        ordered = changes.with_order(rows, spec.keys, spec.sequence_by)
+        if _crowded(rows, arrived):  # keys with very many changes are combined by the tasks that read them
+            ordered = changes.held_changes(changes.merge_changes(ordered, spec.keys), spec.keys)
+        if known is not None:
+            stored = V.as_of_version(spark, target, buckets=touched, known=known)
+            ordered = ordered.unionByName(changes.held_changes(stored, spec.keys), allowMissingColumns=True)
+        whole = arrived + ((known.total or 0) if known is not None else 0)
+        pieces = number * max(1, math.ceil(whole / number / ROWS_PER_PIECE))
+        met = ordered.withColumn(PIECE, X.key_bucket(spec.keys, pieces)).repartitionById(pieces, F.col(PIECE))
+        return changes.merge_changes(met, [PIECE, *spec.keys]).drop(PIECE)
+
+    def _crowded(rows: DataFrame, arrived: int) -> bool:
+        """Whether one key may have more than ``max_rows_per_key`` changes, as counts of their hashes tell."""
+        slots = rows.groupBy(X.key_bucket(spec.keys, KEY_SLOTS).alias("slot")).agg(X.rows().alias("n"))
+        return slots.agg(F.max("n")).first()[0] > max_rows_per_key + 2 * arrived / KEY_SLOTS
 
     def _apply_type2(rows: DataFrame, touched: list[int] | None, batch_id: int, number: int, known: Row | None) -> DataFrame:
         """All versions of the touched buckets: those of the batch's keys extended or rebuilt, the others as stored."""
