@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.checks.shapes import SHAPE_SQL, Retail
-from tradewind.session import tune
+from tradewind.session import tune_tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -47,7 +47,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"query {name} registered twice")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Retail(tune(spark), sf_dir))
+            return fn(Retail(tune_tables(spark), sf_dir))
 
         QUERIES[name] = run
         if sql is not None:
