@@ -167,3 +167,13 @@ def test_short_stretches_share_tasks(spark):
     following = sorted(tuple(r) for r in found.select("k", "__part", "a", "b").collect())
     assert all(x[3] < y[2] for x, y in zip(following, following[1:]) if x[0] == y[0])
     assert cut.count() == 3000
+
+
+def test_latest_rows_carry_their_order_once(spark):
+    """What a row is ordered by is not sorted and shuffled twice."""
+    rows = frame(spark, [(1, at(2), "p", 1), (1, at(1), "q", 2), (2, None, "r", None), (None, at(1), "n", 3)])
+    latest = C.scd1(rows.withColumn(C.PROVENANCE[1], F.col("a")), ["k"], "s")
+    assert {tuple(r) for r in latest.collect()} == {
+        (1, at(2), "p", 1, "p"), (2, None, "r", None, "r"), (None, at(1), "n", 3, "n")}
+    plan = latest._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("s, s#") == 1

@@ -754,8 +754,9 @@ def _change_layers(t) -> tuple[str, dict[str, DataFrame]]:
     landed = landed_tables(t)
     del landed["order_payments"]
     landed["reviews"] = C.scd1(landed.pop("order_reviews"), ["review_id"], "review_answer_timestamp")
-    landed["order_items"] = C.scd1(landed["order_items"].withColumn("by", F.struct("shipping_limit_date", "product_id", "price")),
-                                   ["order_id", "order_item_id"], "by").drop("by")
+    by = ["shipping_limit_date", "product_id", "price"]
+    items = landed["order_items"].withColumn("by", F.struct(*by)).drop(*by)
+    landed["order_items"] = C.scd1(items, ["order_id", "order_item_id"], "by").select("*", "by.*").drop("by")
     for name, df in landed.items():
         df.write.parquet(f"{root}/landing/{name}")
     built = build.run_change_layers(

@@ -118,6 +118,11 @@ def scd1_rows(state: DataFrame, keys: Sequence[str]) -> DataFrame:
 def scd1(changes: DataFrame, keys: Sequence[str], sequence_by: str,
          ignore_null_updates: bool = False) -> DataFrame:
     """Latest row per key; with ``ignore_null_updates`` the latest known value per column."""
+    if not ignore_null_updates and sequence_by not in keys:  # no state is kept: what orders the rows travels once
+        first = [sequence_by, *[c for c in PROVENANCE if c in changes.columns and c != sequence_by]]
+        values = _values(changes, keys)
+        row = F.struct(*first, F.xxhash64(*values).alias(ORDER), *[c for c in values if c not in first])
+        return changes.groupBy(*keys).agg(F.max(row).alias(ROW)).select(*keys, f"{ROW}.*").select(*changes.columns)
     return scd1_rows(scd1_state(changes, keys, sequence_by, ignore_null_updates),
                      keys).select(*changes.columns)
 
