@@ -94,3 +94,14 @@ def test_totals_hold_where_adaptive_execution_drops_empty_branches(spark, tmp_pa
         assert V.newest(spark, path).total == 0 and V.as_of_version(spark, path).count() == 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_many_small_buckets_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    path, parts, publish = str(tmp_path / "snap"), [], V.publish
+    monkeypatch.setattr(V, "publish", lambda df, *a, **o: parts.append((df.rdd.getNumPartitions(), o.get("laid_out"))) or publish(df, *a, **o))
+    for day, status in ((1, "new"), (2, "sent")):
+        df = spark.range(200).select("id", F.lit(status).alias("s"))
+        growing.grow_snapshot(spark, df, path, ["id"], ["s"], F.lit(DAY(1, day)).cast("timestamp_ntz"), rows_per_bucket=1)
+    assert parts == [(4, True), (4, True)]  # 200 buckets, 64 a task
+    got = V.as_of_version(spark, path).groupBy("s", F.col("valid_to").isNull().alias("open")).count()
+    assert rows(got) == [("new", False, 200), ("sent", True, 200)]

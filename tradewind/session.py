@@ -29,6 +29,10 @@ RUNTIME_CONF = {
 TABLE_CONF = {
     "spark.sql.files.maxPartitionBytes": "16m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    # a task still reads as many small files as with Spark's own sizes
+    "spark.sql.files.openCostInBytes": "512k",
+    # tables in many parts: a task lists many of their folders, not one
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
 # Shuffles of a cluster begin with at least so many partitions, of which AQE merges the small ones
 INITIAL_PARTITIONS = 400

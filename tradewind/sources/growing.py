@@ -76,6 +76,22 @@ def open_buckets(rows: int, rows_per_bucket: int) -> int:
     return min(OPEN_PARTS, max(1, -(-rows // rows_per_bucket)))
 
 
+FILES_PER_TASK, ROWS_PER_TASK = 64, 250_000
+
+
+def _spread(rows: DataFrame, part: Column, keys: Sequence[str], number: int, rows_per_bucket: int) -> tuple[DataFrame, bool]:
+    """Rows of small buckets, dealt to tasks by bucket so that none writes very many files; and whether they were.
+
+    A rebalance goes by bytes and would leave all small buckets to one task.
+    Closed rows share one part, which all tasks write to.
+    """
+    buckets = min(FILES_PER_TASK, ROWS_PER_TASK // max(1, rows_per_bucket))
+    if buckets < 2 or number <= buckets:
+        return rows, False
+    closed = F.when(F.col(changes.VALID_TO).isNotNull(), F.xxhash64(*keys))
+    return rows.repartition(-(-number // buckets), part, closed), True
+
+
 def grow_snapshot(spark: SparkSession, source: DataFrame, path: str, key: Sequence[str],
                   check_cols: Sequence[str], run_ts: Column, rows_per_bucket: int = 10_000_000) -> DataFrame:
     """Adds a version for every row whose checked columns changed, closing the old one.
@@ -90,7 +106,8 @@ def grow_snapshot(spark: SparkSession, source: DataFrame, path: str, key: Sequen
     opened = changes.opened_rows(source, run_ts)
     if known is None:
         number = open_buckets(source.count(), rows_per_bucket)
-        V.publish(opened, path, "snapshot", keys, number)
+        rows, laid_out = _spread(opened, X.key_bucket(keys, number), keys, number, rows_per_bucket)
+        V.publish(rows, path, "snapshot", keys, number, laid_out=laid_out)
         return V.as_of_version(spark, path)
     number = known.bucket_count
     here = X.key_bucket(keys, number)
@@ -106,6 +123,6 @@ def grow_snapshot(spark: SparkSession, source: DataFrame, path: str, key: Sequen
         ended = changes.same_keys(touched, fresh, keys, "left_semi").withColumn(changes.VALID_TO, run_ts)
         staying = changes.same_keys(touched, fresh, keys, "left_anti").unionByName(fresh.select(*touched.columns))
         part = F.when(F.col(changes.VALID_TO).isNull(), here).otherwise(F.lit(shelf))
-        V.publish(staying.unionByName(ended.select(*touched.columns)), path, "snapshot", keys, number,
-                  [*buckets, shelf], part=part)
+        rows, laid_out = _spread(staying.unionByName(ended.select(*touched.columns)), part, keys, number, rows_per_bucket)
+        V.publish(rows, path, "snapshot", keys, number, [*buckets, shelf], part=part, laid_out=laid_out)
     return V.as_of_version(spark, path)
