@@ -112,6 +112,30 @@ def test_contractions_at_window_borders(monkeypatch, window):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want, text[-40:]
 
 
+def test_frequent_pieces_stay_cached(monkeypatch):
+    """A pre-token that keeps coming is merged once however many others pass; the cache stays within its size."""
+    monkeypatch.setattr(bpe, "CACHED", 64)
+    encoder, made = bpe.Encoder(bpe.vocabulary_of(BYTE)), []
+    cache = bpe._Cache(lambda piece: made.append(piece) or encoder._piece(piece))
+    for i in range(1000):
+        for piece in (" the", f" w{i}"):
+            assert cache[piece] == encoder._piece(piece)
+        assert len(cache) + len(cache.other) <= 64
+    assert made.count(" the") == 1
+
+
+def test_explicit_classes_cut_as_the_pattern():
+    """Every character of the basic plane beside a letter, a digit, a mark and white space; others take the pattern itself."""
+    whole = bpe.regex.compile(bpe.PRE_TOKEN)
+    chars = [chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000]
+    for beside in ("a", "1", "!", " ", "'s", "\n", "  "):
+        text = beside.join(chars)
+        assert bpe.basic_cut().findall(text) == whole.findall(text)
+    library, encoder = Tokenizer.from_file(BYTE), bpe.encoder_of(BYTE)
+    for text in ("\U0001F600 \U00010400b\U0001D7D8 1", "x\U0001D400's  \U00020000 "):
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_lookahead_settles_tokens():
     """With any merge list, tokens that end further from the end than the bound are the same for every continuation."""
     rng = random.Random(5)

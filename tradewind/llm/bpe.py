@@ -4,7 +4,8 @@ A merge list fixes how far what follows a text can change its tokens: ``lookahea
 bound in bytes. The transducer holds the bytes of one pre-token that are not settled yet, and emits
 a token once that many bytes follow it, so that its memory depends neither on the text nor on the
 length of a pre-token. Pre-tokens are found in windows of fixed size, of which the last piece, and
-pieces that begin less than a contraction before the window's end, wait for the next window. The results of short pre-tokens are kept in a bounded cache.
+pieces that begin less than a contraction before the window's end, wait for the next window. The results of short pre-tokens
+are kept in a bounded cache, from which those that did not come again leave first.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from __future__ import annotations
 import codecs
 import heapq
 import json
+import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -34,6 +37,22 @@ BATCH_IDS = 1 << 21     # ids or characters of an output batch
 # Fixed value: how this family of tokenizers cuts a text before it merges.
 PRE_TOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+BEYOND = re.compile("[\U00010000-\U0010FFFF]")
+
+
+@lru_cache(maxsize=1)
+def basic_cut() -> re.Pattern:
+    """``PRE_TOKEN`` for texts of the basic plane, with its classes as explicit ranges, which ``re`` takes half the time for."""
+    plane = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x10000)]))
+
+    def ranges(kind: str) -> str:
+        parts = [m.group() for half in (plane[:0xD800], plane[0xD800:]) for m in regex.finditer(f"{kind}+", half)]
+        return "".join(f"\\u{ord(part[0]):04x}-\\u{ord(part[-1]):04x}" for part in parts)
+
+    letter, number, space = map(ranges, (r"\p{L}", r"\p{N}", r"\s"))
+    return re.compile(f" ?[{letter}]+| ?[{number}]+|'(?:[stmd]|re|ve|ll)| ?[^{space}{letter}{number}]+"
+                      f"|[{space}]+(?![^{space}])|[{space}]+")
+
 
 def byte_letters() -> dict[str, int]:
     """The character that stands for each byte in a byte-level vocabulary: printable Latin-1 for
@@ -76,6 +95,8 @@ class Vocabulary:
         self.made = [0] * len(pairs)
         for rank, token in self.merges.values():
             self.made[rank] = token
+        single, never = self.single, len(self.made)
+        self.first = [[self.ranks.get((a, b), never) for b in single] for a in single]  # ranks of pairs of bytes
         self.lookahead = lookahead([(left, right, made, len(self.bytes[left]))
                                     for (left, right), (_, made) in sorted(self.merges.items(), key=lambda m: m[1])])
 
@@ -85,17 +106,19 @@ class Vocabulary:
 
     def _short(self, data: bytes) -> list[int]:
         """Merge the pair of lowest rank, the first of equals, until no pair has one."""
-        single, rank_of, made, never = self.single, self.ranks.get, self.made, len(self.made)
+        single, first, rank_of, made, never = self.single, self.first, self.ranks.get, self.made, len(self.made)
         ids = [single[b] for b in data]
-        ranks = [rank_of(p, never) for p in zip(ids, ids[1:])]
-        while ranks and (low := min(ranks)) < never:
+        ranks = [first[a][b] for a, b in zip(data, data[1:])]
+        left = len(ranks)
+        while left and (low := min(ranks)) < never:
             i = ranks.index(low)
-            ids[i:i + 2] = [made[low]]
-            del ranks[i]
+            token = ids[i] = made[low]
+            del ranks[i], ids[i + 1]
+            left -= 1
             if i:
-                ranks[i - 1] = rank_of((ids[i - 1], ids[i]), never)
-            if i < len(ranks):
-                ranks[i] = rank_of((ids[i], ids[i + 1]), never)
+                ranks[i - 1] = rank_of((ids[i - 1], token), never)
+            if i < left:
+                ranks[i] = rank_of((token, ids[i + 1]), never)
         return ids
 
     def _long(self, data: bytes) -> list[int]:
@@ -179,7 +202,7 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.cut = regex.compile(PRE_TOKEN)
+        self.cut, self.basic = regex.compile(PRE_TOKEN), basic_cut()
         self.special = regex.compile("(" + "|".join(map(regex.escape, vocabulary.special)) + ")") \
             if vocabulary.special else None
         self.cache = _Cache(self._piece)
@@ -187,7 +210,8 @@ class Encoder:
     def _piece(self, piece: str) -> bytes:
         """Ids of one pre-token, through the transducer in parts of ``STEP`` bytes at most."""
         if len(piece) <= CACHED_BYTES:
-            return np.array(self.vocabulary.merge(piece.encode()), "<u4").tobytes()
+            ids = self.vocabulary.merge(piece.encode())
+            return struct.pack(f"<{len(ids)}I", *ids)
         machine, out = Transducer(self.vocabulary), []
         for i in range(0, len(piece), STEP // 4):
             out.append(np.fromiter(machine.feed(piece[i:i + STEP // 4].encode()), "<u4").tobytes())
@@ -198,7 +222,7 @@ class Encoder:
         at, size = 0, len(text)
         while at < size:
             window = text[at:at + WINDOW]
-            found = self.cut.findall(window)
+            found = (self.cut if BEYOND.search(window) else self.basic).findall(window)
             if at + WINDOW < size:
                 held = len(found.pop())  # what follows may lengthen the last piece
                 while found and held + len(found[-1]) < AHEAD:  # or join a "'" and a letter
@@ -223,16 +247,19 @@ class Encoder:
 
 
 class _Cache(dict):
-    """Results by pre-token; emptied when full, and blind to long pre-tokens."""
+    """Results by pre-token, blind to long ones. When this half is full, it replaces the other: what came in neither leaves."""
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.other = make, {}
 
     def __missing__(self, piece: str) -> bytes:
-        found = self.make(piece)
+        found = self.other.get(piece)
+        if found is None:
+            found = self.make(piece)
         if len(piece) <= CACHED_BYTES:
-            if len(self) >= CACHED:
+            if len(self) >= CACHED // 2:
+                self.other = self.copy()
                 self.clear()
             self[piece] = found
         return found
