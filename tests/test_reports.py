@@ -6,9 +6,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__
 from tradewind.functions import columns as X
 from tradewind.operators import aggregates, joins, ranking
-from tradewind.plans import build, explore, gold, star
+from tradewind.plans import build, explore, gold, model_tests, star
 
 D = Decimal
 DAY = lambda n: datetime(2018, 1, n, 12)
@@ -143,6 +144,32 @@ def test_star_build_is_gated_and_fact_grows(spark, shop, tmp_path):
     assert not (tmp_path / "broken" / "intermediate").exists()
 
 
+def test_no_gate_repeats_a_test(spark, shop, tmp_path, monkeypatch):
+    gates = []
+    monkeypatch.setattr(build, "require_passing", lambda tables, tests: gates.append([(t.name, t.severity) for t in tests]))
+    build.build_star(spark, shop, str(tmp_path))
+    run, every = sum(gates, []), [model_tests.source_tests(), model_tests.staging_tests(), model_tests.intermediate_tests(),
+                                  model_tests.mart_tests(), model_tests.report_tests()]
+    assert len(gates) == 5 and len(run) == len(set(run))
+    assert set(run) == {(t.name, t.severity) for tests in every for t in tests}
+    assert {("order_reviews.review_id not_null", s) for s in ("warn", "error")} <= set(run)
+
+
+def test_layers_read_stored_sources(spark, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def build_star(spark, sources, path):
+        raise Seen(sources)
+
+    monkeypatch.setattr(build, "build_star", build_star)
+    with pytest.raises(Seen) as seen:
+        __spark_entry__.queries()["a19_layers"](spark, __spark_entry__.SMALL)
+    for name in ("orders", "order_reviews"):
+        files = seen.value.args[0][name].inputFiles()
+        assert files and all(f"/sources/{name}/" in f for f in files)
+
+
 def test_order_snapshot_is_stored_as_versions(spark, tmp_path):
     schema = "order_id int, order_status string, order_purchase_timestamp string"
     first = spark.createDataFrame([(1, "created", "t"), (2, "created", "t")], schema)
