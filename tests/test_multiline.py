@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
 from tradewind.sources import landing, multiline
@@ -38,3 +39,15 @@ def test_equal_to_the_reader_of_whole_files(spark, tmp_path, split):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_each_pass_sends_its_own_rows():
+    """The pass over the borders sends at most two pieces a split, however many records this holds."""
+    schema = multiline.T._parse_datatype_string(multiline.PLACE)
+    lines = ['end"', *[f'{i},"x"' for i in range(5000)], '5000,"open']
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in (lines, ["p"] * len(lines), [7] * len(lines), [1] * len(lines))],
+                                       names=["value", "path", "block", "opened"])
+    sent = {pieces: [r for b in multiline._cut([], schema, pieces)([batch]) for r in b.to_pylist()] for pieces in (False, True)}
+    assert [(r["__n"], r["__record"]) for r in sent[False]] == [(i + 1, f'{i},"x"') for i in range(5000)]
+    assert [(r["__n"], r["__kind"], r["__record"]) for r in sent[True]] == [
+        (0, multiline.HEAD, 'end"'), (5001, multiline.TAIL, '5000,"open')]

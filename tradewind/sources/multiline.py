@@ -26,7 +26,8 @@ PLACE = "__path string, __block long, __n long, __kind int, __record string"
 INFERRED = ("int", "bigint", "double", "date", "timestamp", "boolean")
 
 
-def _cut(parts: Sequence[str], schema: T.StructType):
+def _cut(parts: Sequence[str], schema: T.StructType, pieces: bool):
+    """Whole records, or the pieces at the borders of the splits: each is read by a pass of its own."""
     arrow = to_arrow_schema(schema)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -35,21 +36,23 @@ def _cut(parts: Sequence[str], schema: T.StructType):
             columns = [batch.column(k).to_pylist() for k in range(batch.num_columns)]
             for i, (line, path, block, opened) in enumerate(zip(*columns[:4])):
                 if at != (path, block):
-                    if held:
+                    if held and pieces:
                         yield (*at, n, MIDDLE if inside else TAIL, "\n".join(held), *place)
                     at, held, odd, inside, n = (path, block), [], bool(opened), bool(opened), 0
                     place = tuple(c[i] for c in columns[4:])
                 held.append(line)
                 odd ^= line.count('"') % 2 == 1
                 if not odd:
-                    record = "\n".join(held)
+                    record = "\n".join(held) if len(held) > 1 else line
+                    filled = bool(record.strip("\r"))
                     if inside:
-                        yield (*at, n, HEAD, record, *place)
-                    elif record.strip("\r"):
+                        if pieces:
+                            yield (*at, n, HEAD, record, *place)
+                    elif filled and not pieces:
                         yield (*at, n, RECORD, record, *place)
-                    n += bool(record.strip("\r")) or inside
+                    n += filled or inside
                     held, inside = [], False
-        if held:
+        if held and pieces:
             yield (*at, n, MIDDLE if inside else TAIL, "\n".join(held), *place)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,10 +90,9 @@ def records(spark: SparkSession, paths: Sequence[str], base: str | None = None)
     marked = lines.join(F.broadcast(opened), ["path", "block"]).select("value", "path", "block", "opened", *parts)
     fields = [f for f in text.schema.fields if f.name in parts]
     schema = T.StructType([*T._parse_datatype_string(PLACE).fields, *fields])
-    cut = marked.mapInArrow(_cut(parts, schema), schema)
-    whole = cut.where(F.col("__kind") == RECORD).drop("__kind")
+    whole = marked.mapInArrow(_cut(parts, schema, False), schema).drop("__kind")
     ordered = Window.partitionBy("__path").orderBy("__block", "__n")
-    pieces = cut.where(F.col("__kind") != RECORD).withColumn("__first", F.sum((F.col("__kind") == TAIL).cast("int")).over(ordered))
+    pieces = marked.mapInArrow(_cut(parts, schema, True), schema).withColumn("__first", F.sum((F.col("__kind") == TAIL).cast("int")).over(ordered))
     place = F.struct("__block", "__n", "__record", *parts)
     joined = pieces.groupBy("__path", "__first").agg(F.array_sort(F.collect_list(place)).alias("p"))
     stitched = joined.select("__path", *[F.col("p")[0][c].alias(c) for c in ("__block", "__n")],
