@@ -1,5 +1,6 @@
 """Change flows over many batches, other bucket counts, restores and rules; the stages as whole runs."""
 
+import os
 import random
 import re
 
@@ -247,3 +248,54 @@ def test_a_type1_batch_is_shuffled_once_and_its_changes_hold_their_order_once(sp
     assert [len(re.findall(r"\bExchange\b", plan)) for plan in plans] == ([2, 2] if heavy else [1, 1])
     files = spark.read.parquet(f"{table.target}/data").select(F.input_file_name()).distinct().count()
     assert files <= 8
+
+
+def shuffle_files(spark):
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    names = env.blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+    return {n for n in names if n.endswith(".data") and "/shuffle_" in n}
+
+
+def test_a_type1_batch_leaves_no_shuffled_rows_on_disk_and_shuffles_each_column_once(spark, tmp_path, monkeypatch):
+    plans, publish = [], V.publish
+    monkeypatch.setattr(V, "publish", lambda df, *a, **o: plans.append(
+        df._jdf.queryExecution().optimizedPlan().toString()) or publish(df, *a, **o))
+    table = Table(spark, tmp_path, 1, ChangeTable(["k"], [], [], sequence_by="s"))
+    before = shuffle_files(spark)
+    table.apply([(k, 1, f"a{k}") for k in range(20000)], buckets=4)
+    table.apply([(k, k % 3, f"b{k}") for k in range(5000, 25000)])
+    left = sum(os.path.getsize(n) for n in shuffle_files(spark) - before if os.path.exists(n))
+    assert left < 20000
+    assert all(spark.conf.get(k, None) != v for k, v in flows.BATCH_CONF.items())  # set for the stream alone
+    for plan in plans:  # the order of a row is made of it behind the shuffle
+        above, _, below = plan.partition("RepartitionByExpression")
+        assert "xxhash64(s" in above and "xxhash64(s" not in below
+    want = {k: ("a", 1) if k < 5000 else ("b", k % 3) if k >= 20000 or k % 3 == 2 else ("a", 1) if k % 3 == 0 else None
+            for k in range(25000)}
+    got = {r.k: (r.v[0], r.s) for r in flows.read_type1(spark, table.target, ["k"]).collect()}
+    assert got.keys() == want.keys() and all(w is None or got[k] == w for k, w in want.items())
+    kept = pq.ParquetFile(next((tmp_path / "silver" / "data" / "version=1").glob("*/*.parquet"))).metadata
+    assert kept.row_group(0).column(0).compression == "ZSTD"
+
+
+def test_thin_orders_become_the_full_ones(spark):
+    """Of changes that won some of their values only, of plain ones, and where one side has no provenance."""
+    shape = "k long, s long, v string, _source_file string"
+    rows = [(1, 5, "x", "f1"), (1, 7, None, "f2"), (2, None, "y", None), (2, 1, None, "f1"), (3, 2, None, None),
+            (4, 9, None, "f2"), (4, 3, "z", None)]
+    old = C.with_order(spark.createDataFrame(rows, shape), ["k"], "s")
+    held = C.held_changes(C.merge_changes(old, ["k"]), ["k"])
+    values = ["s", "v", "_source_file"]
+    show = lambda df: sorted((repr(r.asDict(True)) for r in df.select("k", *values, C.ORDER).collect()))
+    thin = C.thin_order(held, "s")
+    assert show(C.full_order(thin, "s", values)) == show(held)
+    assert show(C.full_order(C.thin_order(thin, "s"), "s", values)) == show(held)
+    assert thin.filter(F.col("s").isNotNull() & F.col(C.ORDER)["s"].isNotNull()).isEmpty()
+    assert not thin.filter(F.col("s").isNull() & F.col(C.ORDER)["s"].isNotNull()).isEmpty()
+    new = spark.createDataFrame(rows, shape)
+    assert show(C.full_order(new, "s", values)) == show(old)
+    met = C.full_order(new.unionByName(thin, allowMissingColumns=True), "s", values)
+    assert show(met) == sorted([*show(old), *show(held)])
+    bare = new.drop("_source_file")
+    mixed = C.full_order(bare.unionByName(thin, allowMissingColumns=True), "s", ["s", "v"])
+    assert mixed.schema[C.ORDER].dataType.names == ["s", "p1", "h"] and mixed.count() == len(rows) + held.count()

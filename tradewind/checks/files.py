@@ -19,7 +19,7 @@ from tradewind.functions import columns as X
 from tradewind.operators import changes as C
 from tradewind.operators.quality import DROP, FAIL, WARN, Rule
 from tradewind.plans import build, gold, silver
-from tradewind.session import scratch
+from tradewind.session import STORED_CODEC, scratch
 from tradewind.sources import growing, landing, layout, tables
 from tradewind.sources import versions as V
 from tradewind.streaming import flows, ingest
@@ -43,7 +43,7 @@ class Feed:
             writer.options(header=True, escape='"', ignoreLeadingWhiteSpace=False,
                            ignoreTrailingWhiteSpace=False, emptyValue='""').csv(self.source)
         else:
-            writer.parquet(self.source)
+            writer.parquet(self.source, compression=STORED_CODEC)
 
     def ingest(self) -> int:
         return ingest.ingest_files(self.spark, self.source, self.fmt, self.bronze,

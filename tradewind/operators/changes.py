@@ -26,15 +26,40 @@ def _values(changes: DataFrame, keys: Sequence[str]) -> list[str]:
     return [c for c in changes.columns if c not in keys]
 
 
+def _order_columns(columns: Sequence[str], sequence_by: str | None) -> dict[str, str]:
+    """The fields of an order that repeat a column of the row, with that column; a hash of the row follows them."""
+    fields = {} if sequence_by is None else {"s": sequence_by}
+    return fields | {f"p{i}": c for i, c in enumerate(PROVENANCE) if c in columns and c != sequence_by}
+
+
 def with_order(changes: DataFrame, keys: Sequence[str], sequence_by: str | None) -> DataFrame:
     """Adds what decides between two changes of one key, computed once per row."""
-    fields = [] if sequence_by is None else [F.col(sequence_by).alias("s")]
-    fields += [F.col(c).alias(f"p{i}") for i, c in enumerate(PROVENANCE)
-               if c in changes.columns and c != sequence_by]
+    fields = [F.col(c).alias(f) for f, c in _order_columns(changes.columns, sequence_by).items()]
     return changes.withColumn(ORDER, F.struct(
         *fields, F.xxhash64(*_values(changes, keys)).alias("h")))
 
 
+def thin_order(ordered: DataFrame, sequence_by: str | None) -> DataFrame:
+    """The changes with what their own columns do not tell of their order, for a shuffle; see ``full_order``.
+
+    A held change has the values that it won, so a column of its order may be missing among them.
+    """
+    fields = [F.when(F.col(c).isNull(), F.col(ORDER)[f]).alias(f)
+              for f, c in _order_columns(ordered.columns, sequence_by).items()]
+    return ordered.withColumn(ORDER, F.struct(*fields, F.col(ORDER)["h"].alias("h")))
+
+
+def full_order(thin: DataFrame, sequence_by: str | None, hashed: Sequence[str]) -> DataFrame:
+    """The order of changes from ``thin_order`` and of plain ones, of which the ``hashed`` columns are all values."""
+    given = thin.schema[ORDER].dataType.names if ORDER in thin.columns else []
+
+    def field(name: str, own: Column) -> Column:
+        return F.coalesce(F.col(ORDER)[name], own).alias(name) if name in given else own.alias(name)
+
+    fields = [field(f, F.col(c)) for f, c in _order_columns(thin.columns, sequence_by).items()]
+    return thin.withColumn(ORDER, F.struct(*fields, field("h", F.xxhash64(*hashed))))
+
+
 def _known(column: str) -> Column:
     """The column's value with its order, or NULL where there is no value."""
     return F.when(F.col(column).isNotNull(),

@@ -34,6 +34,8 @@ TABLE_CONF = {
     # tables in many parts: a task lists many of their folders, not one
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
+# Of files that flows read and tables that they store: about two thirds of the bytes of Spark's own choice
+STORED_CODEC = "zstd"
 # Shuffles of a cluster begin with at least so many partitions, of which AQE merges the small ones
 INITIAL_PARTITIONS = 400
 

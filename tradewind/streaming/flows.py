@@ -7,6 +7,7 @@ import os
 from collections.abc import Callable, Sequence
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from tradewind.operators import changes
 from tradewind.operators.quality import (DROP, FAIL, Rule, apply_expectations, measure_expectations,
                                          observe_expectations, rejected_rows)
 from tradewind.plans.silver import ChangeTable
-from tradewind.session import scratch
+from tradewind.session import STORED_CODEC, scratch, tune
 from tradewind.sources import versions as V
 from tradewind.streaming.progress import run_to_end
 
@@ -105,6 +106,12 @@ LEAST_BUCKETS = 16
 PIECE = "__piece"
 ROWS_PER_PIECE = 250_000  # of a type 1 table: what one task sorts and writes to one file
 KEY_SLOTS = 1 << 12
+# What a batch leaves on disk: files of its shuffles go when the query that made them ends, tables are packed closely
+BATCH_CONF = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.parquet.compression.codec": STORED_CODEC,
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",  # 8 bytes, not 12
+}
 
 
 def buckets_for(rows: int) -> int:
@@ -153,7 +160,8 @@ def change_flow(spark: SparkSession, bronze: str, stage: Stage, spec: ChangeTabl
         if V.applied_up_to(known, flow) >= batch_id:
             return
         number = _bucket_count(known, buckets)
-        staged = stage(batch).persist()
+        tune(batch.sparkSession, BATCH_CONF)  # a session of this stream alone
+        staged = stage(batch).persist(StorageLevel.MEMORY_ONLY)  # the rest is read again: bronze has it on disk already
         try:
             def facts(kept: Column) -> list[Column]:
                 bucket = F.when(kept, X.key_bucket(spec.keys, number or 1))
@@ -183,17 +191,25 @@ def change_flow(spark: SparkSession, bronze: str, stage: Stage, spec: ChangeTabl
             staged.unpersist()
 
     def _apply_type1(rows: DataFrame, touched: list[int] | None, arrived: int, number: int, known: Row | None) -> DataFrame:
-        """New and held changes meet in one shuffle, whose pieces are parts of buckets and are written as they are."""
-        ordered = changes.with_order(rows, spec.keys, spec.sequence_by)
+        """New and held changes meet in one shuffle, whose pieces are parts of buckets and are written as they are.
+
+        Of its order a change brings there only what its columns do not tell.
+        """
+        def held(state: DataFrame) -> DataFrame:
+            return changes.thin_order(changes.held_changes(state, spec.keys), spec.sequence_by)
+
+        coming = rows
         if _crowded(rows, arrived):  # keys with very many changes are combined by the tasks that read them
-            ordered = changes.held_changes(changes.merge_changes(ordered, spec.keys), spec.keys)
+            ordered = changes.with_order(rows, spec.keys, spec.sequence_by)
+            coming = held(changes.merge_changes(ordered, spec.keys))
         if known is not None:
             stored = V.as_of_version(spark, target, buckets=touched, known=known)
-            ordered = ordered.unionByName(changes.held_changes(stored, spec.keys), allowMissingColumns=True)
+            coming = coming.unionByName(held(stored), allowMissingColumns=True)
         whole = arrived + ((known.total or 0) if known is not None else 0)
         pieces = number * max(1, math.ceil(whole / number / ROWS_PER_PIECE))
-        met = ordered.withColumn(PIECE, X.key_bucket(spec.keys, pieces)).repartitionById(pieces, F.col(PIECE))
-        return changes.merge_changes(met, [PIECE, *spec.keys]).drop(PIECE)
+        met = coming.withColumn(PIECE, X.key_bucket(spec.keys, pieces)).repartitionById(pieces, F.col(PIECE))
+        ordered = changes.full_order(met, spec.sequence_by, [c for c in rows.columns if c not in spec.keys])
+        return changes.merge_changes(ordered, [PIECE, *spec.keys]).drop(PIECE)
 
     def _crowded(rows: DataFrame, arrived: int) -> bool:
         """Whether one key may have more than ``max_rows_per_key`` changes, as counts of their hashes tell."""

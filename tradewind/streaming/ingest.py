@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.plans.silver import INGESTED, SOURCE
+from tradewind.session import STORED_CODEC
 from tradewind.sources import multiline
 from tradewind.sources.landing import CSV_TEXT, rescue_cast, rescue_types
 from tradewind.streaming.progress import run_to_end
@@ -105,7 +106,7 @@ def _ingest_parquet(spark, src_dir, out_dir, checkpoint, glob, schema, files_per
     files = (spark.readStream.schema(stored).options(**options)
              .option("maxFilesPerTrigger", files_per_batch).parquet(src_dir))
     writer = (with_provenance(files, ingested).writeStream.format("parquet")
-              .option("path", out_dir).option("checkpointLocation", checkpoint)
+              .option("compression", STORED_CODEC).option("path", out_dir).option("checkpointLocation", checkpoint)
               .outputMode("append").trigger(availableNow=True))
     return run_to_end(spark, writer)[0]
 
